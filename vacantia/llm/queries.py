@@ -5,23 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table_path
 from .packing import pack_documents
+from .quality import quality
+from .simhash import simhash_components
 from .token_counts import count_tokens
 from .token_ids import read_token_store, write_token_store
+from .toxicity import crc_fold, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents over three-word shingles, and their components at two bits."""
+    return simhash_components(_table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by piece_bpe_32k.model."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, "piece_bpe_32k.model").select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; the fold with remainder 2 of 4 is held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity(docs, _table(spark, sf_dir, "labels"), "toxic", folds=4, out=2)
+    return scored.select("doc_id", crc_fold(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; the fold with remainder 0 of 5 is held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality(docs, _table(spark, sf_dir, "labels"), "quality", folds=5, out=0)
+    return scored.select("doc_id", crc_fold(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the token store of all documents to the shared folder and read it back."""
     folder = table_path(spark, "token-store")
