@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table_path
+from .fingerprints import edited_fingerprints
 from .packing import pack_documents
 from .quality import quality
 from .simhash import simhash_components
@@ -52,6 +53,11 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_store(spark, folder)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
     return pack_documents(_table(spark, sf_dir, "documents"), "byte_bpe_50k.json", size=1024, end_id=2)
