@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import table_path
 from .fingerprints import edited_fingerprints
+from .line_templates import dedup_lines
+from .mixing import MIX_SQL, mix
 from .packing import pack_documents
 from .quality import quality
 from .simhash import simhash_components
@@ -32,6 +34,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, "piece_bpe_32k.model").select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed so that every source has the same weight, in their shuffled order."""
+    return mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), seed=7).select("doc_id", "source", "copy", "shuffle_key")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents; the fold with remainder 2 of 4 is held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,6 +60,12 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_store(spark, folder)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines whose template occurs in an earlier document."""
+    kept = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_recurring", "n_dropped", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
@@ -68,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": MIX_SQL}
