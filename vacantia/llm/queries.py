@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import table_path
 from .fingerprints import edited_fingerprints
 from .line_templates import dedup_lines
+from .media import media_copies, mosaics
 from .mixing import MIX_SQL, mix
 from .packing import pack_documents
 from .quality import quality
@@ -28,6 +29,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies among the images of all embeddings, each drawn as a mosaic, as the tables have no images of their own."""
+    return media_copies(mosaics(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")).withColumnRenamed("media_id", "vec_id")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by piece_bpe_32k.model."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
