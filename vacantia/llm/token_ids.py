@@ -2,7 +2,7 @@
 
 A store is a folder with two Parquet tables. ``dictionary`` has one row (dict_hash, dictionary). ``blocks`` has
 one row for about a MiB of documents in ascending doc_id order: part and block (order), first_doc and last_doc,
-n_docs, n_tokens, dict_hash, ``index`` (for each document its id, whether that is null, number of ids and
+n_docs, n_tokens, in_part (ids of the part's blocks before), dict_hash, ``index`` (for each document its id, whether that is null, number of ids and
 frame length) and ``payload`` (one zstandard frame a document). A document is thus read by
 its block alone: Parquet statistics find the row, the index the frame.
 """
@@ -75,9 +75,9 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     dict_hash, dictionary = _train(docs, path, end_id)
     spark.createDataFrame([(dict_hash, bytearray(dictionary))], "dict_hash string, dictionary binary").coalesce(1).write.parquet(f"{folder}/dictionary")
-    schema = "part int, block int, first_doc bigint, last_doc bigint, n_docs bigint, n_tokens bigint, dict_hash string, index binary, payload binary"
+    schema = "part int, block int, first_doc bigint, last_doc bigint, n_docs bigint, n_tokens bigint, in_part bigint, dict_hash string, index binary, payload binary"
     names = [f.split()[0] for f in schema.split(", ")]
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -85,10 +85,10 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_content_size=True)
         end, part, block = end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
-        index, frames, known, size, tokens = [], [], [], 0, 0
+        index, frames, known, size, tokens, before = [], [], [], 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            row = [part, block, known[0] if known else None, known[-1] if known else None, len(index), tokens, dict_hash, b"".join(index), b"".join(frames)]
+            row = [part, block, known[0] if known else None, known[-1] if known else None, len(index), tokens, before, dict_hash, b"".join(index), b"".join(frames)]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=names)
 
         for batch in batches:
@@ -102,7 +102,7 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 size, tokens = size + len(frame), tokens + len(ids) // 4
                 if size >= BLOCK_BYTES:
                     yield close()
-                    block, size, tokens = block + 1, 0, 0
+                    block, size, tokens, before = block + 1, 0, 0, before + tokens
                     index, frames, known = [], [], []
         if index:
             yield close()
@@ -131,15 +131,13 @@ def _dictionary(spark: SparkSession, folder: str) -> tuple[str, bytes]:
 def read_token_store(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """Documents of a store: doc_id, start (ids of all documents before), n_tokens, ids_crc32, and ids if asked for.
 
-    Starts come from one sum a part file (as many rows as the writer had tasks) and a running sum in each part. A block whose
+    Starts come from one sum a part, as many rows as the writer had tasks, and each block's place in its part. A block whose
     dictionary hash is not that of the store fails the read.
     """
     name, dictionary = _dictionary(spark, folder)
     blocks = spark.read.parquet(f"{folder}/blocks")
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
-    sums = blocks.select("part", "block", (F.sum("n_tokens").over(Window.partitionBy("part").orderBy("block")) - F.col("n_tokens")).alias("in_part"))
-    starts = sums.join(parts, "part").select("part", "block", (F.col("in_part") + F.col("part_start")).alias("start"))
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +159,8 @@ def read_token_store(spark: SparkSession, folder: str, with_ids: bool = False) -
                 arrays = [pa.array(c, pa.int64()) for c in out[:4]]
                 yield pa.RecordBatch.from_arrays([*arrays, *([pa.array(out[4], pa.list_(pa.int32()))] if with_ids else [])], names=["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])])
 
-    return blocks.select("part", "block", "dict_hash", "index", "payload").join(starts, ["part", "block"]).mapInArrow(run, schema)
+    placed = blocks.select("part", "block", "in_part", "dict_hash", "index", "payload").join(F.broadcast(parts), "part")
+    return placed.withColumn("start", F.col("in_part") + F.col("part_start")).drop("in_part", "part_start").mapInArrow(run, schema)
 
 
 def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[int] | None:
