@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,28 +47,25 @@ def remove_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
-    """Apply ``fn`` (columns in, columns out) to each Arrow batch, with exactly the types of ``schema``."""
-    spark = df.sparkSession
-    target = pa.schema(_arrow_fields(spark, schema))
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of at most ``rows`` rows, so that a worker's Python objects stay few."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = fn({n: batch.column(i) for i, n in enumerate(batch.schema.names)})
-                yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for f, c in zip(target, (out[f.name] for f in target), strict=True)],
-                    schema=target,
-                )
 
-    return df.mapInArrow(run, schema)
+_OWNER: list[tuple[str, Callable[[], None]]] = []
 
 
-def _arrow_fields(spark: SparkSession, schema: str) -> list[pa.Field]:
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
+def claim(name: str, clear: Callable[[], None]) -> None:
+    """Make ``name`` the one table of a Python worker that outlives its tasks; the one before, if another's, is cleared.
 
-    return [pa.field(f.name, to_arrow_type(f.dataType)) for f in StructType.fromDDL(schema)]
+    Workers serve one operator after the other, and the tables of all of them together would outgrow an executor.
+    """
+    if not _OWNER or _OWNER[0][0] != name:
+        for _, other in _OWNER:
+            other()
+        _OWNER[:] = [(name, clear)]
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, remove_table, texts_of
+from .common import claim, connected_components, materialize, remove_table, slices, texts_of
 
 #: Shorter lines are left alone: they recur by chance.
 MIN_TOKENS = 3
@@ -50,6 +50,7 @@ def file_line(tokens: list[str]) -> tuple[list[int], bytes]:
     """Tree keys of a masked line, and two bytes for each token by which lines are compared."""
     import xxhash
 
+    claim("lines", _BYTES.clear)
     n, lead, rest = len(tokens), tokens[:LEAD], tokens[LEAD:]
     cuts = variable_fields(n) + 1
     leaf = f"{n} {' '.join(lead)} "
@@ -89,7 +90,7 @@ def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches, 500):
             out = [[] for _ in types]
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 seen = set()
@@ -117,7 +118,7 @@ def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     both = pairs.join(known.withColumnRenamed("bytes", "a"), "line").join(known.select(F.col("line").alias("other"), F.col("bytes").alias("b")), "other")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             ok = [same_template(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
 
@@ -156,7 +157,7 @@ def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             texts, counts = [], ([], [], [])
             for text, n, drop in zip(batch.column(at).to_pylist(), batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), strict=True):
                 lines = text.split("\n") if text is not None else []

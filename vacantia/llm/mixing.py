@@ -53,14 +53,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | N
     ``weights``. Repeated rows of an id draw alike and are each repeated. An empty table gives an empty result. Columns named copy or
     shuffle_key are replaced.
     """
-    table = rates(docs, source_col, weights, total).withColumn("cdf", cumulative(F.col("rate")))
-    bounds = table.agg(F.count("*"), F.sum(F.size("cdf"))).first()
+    table = rates(docs, source_col, weights, total).withColumn("__cdf", cumulative(F.col("rate")))
+    bounds = table.agg(F.count("*"), F.sum(F.size("__cdf"))).first()
     small = bounds[0] <= BROADCAST_SOURCES and (bounds[1] or 0) <= BROADCAST_STEPS
-    table = table.select(F.col("source").alias("__source"), "cdf")
+    table = table.select(F.col("source").alias("__source"), "__cdf")
     kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     own = docs.select(*[F.col(f"`{c}`") for c in kept])
     joined = own.join(F.broadcast(table) if small else table, own[source_col].eqNullSafe(table["__source"]))
-    times = F.size(F.filter("cdf", lambda p: p < F.col("__draw")))
+    times = F.size(F.filter("__cdf", lambda p: p < F.col("__draw")))
     copies = joined.withColumn("__draw", draw(id_col, seed)).withColumn("__times", times).where("__times > 0")
     copies = copies.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.sequence(F.lit(0), F.col("__times") - 1)).alias("copy"))
     key = F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("copy").cast("string"), F.lit(f"{seed}")).cast("binary"))

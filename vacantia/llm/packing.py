@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, texts_of
+from .common import materialize, slices, texts_of
 from .tokenizing import byte_encoder, tokenizer_path
 
 #: Groups that the ranks of one length are counted in, so that no task ranks a whole length.
@@ -87,7 +87,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> Dat
         from pyspark import TaskContext
 
         end, group = end_id.to_bytes(4, "little"), TaskContext.get().partitionId() % RANK_GROUPS
-        for batch in batches:
+        for batch in slices(batches):
             out = [[] for _ in types]
             for doc, ids in zip(batch.column(0).to_pylist(), byte_encoder(path).encode(texts_of(batch.column(1))), strict=True):
                 ids += end
@@ -157,7 +157,7 @@ def build_sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, size: in
         import numpy as np
 
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.frombuffer(x + end, "<u4").astype("int32") for x in byte_encoder(path).encode(texts_of(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, remove_table, texts_of
+from .common import connected_components, materialize, remove_table, slices, texts_of
 
 HOT_KEY = 32
 
@@ -50,7 +50,7 @@ def simhash(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col:
     """(doc_id bigint, fp bigint) of every row: whole text, A-Z lower-cased, words parted by ASCII white space. Null text: zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = [fingerprint(t.encode().lower().split(), shingle) for t in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f - (1 << 64) if f >> 63 else f for f in fps], pa.int64())], names=["doc_id", "fp"])
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import slices, texts_of
 from .tokenizing import piece_counter, tokenizer_path
 
 
@@ -30,7 +30,7 @@ def count_tokens(docs: DataFrame, model: str, text_col: str = "text", limit: int
     schema = StructType([*(kept.schema[c] for c in keys), StructField("n_bytes", LongType()), StructField("n_tokens", LongType()), StructField("over_limit", BooleanType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = texts_of(batch.column(batch.schema.get_field_index(text_col)))
             n = piece_counter(path).count(texts)
             rest = [batch.column(batch.schema.get_field_index(c)) for c in keys]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import slices, texts_of
 from .tokenizing import byte_encoder, tokenizer_path
 
 #: Documents that the dictionary is trained on, and its size: the documented bound of that sample.
@@ -91,7 +91,7 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             row = [part, block, known[0] if known else None, known[-1] if known else None, len(index), tokens, before, dict_hash, b"".join(index), b"".join(frames)]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=names)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, ids in zip(batch.column(0).to_pylist(), byte_encoder(path).encode(texts_of(batch.column(1))), strict=True):
                 ids += end
                 frame = pack.compress(pack_ids(ids))

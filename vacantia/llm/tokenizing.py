@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import re
 
+from .common import claim
+
 #: Pieces kept by a worker between batches; the table is emptied when it grows beyond this.
 CACHE_ENTRIES = 500_000
 #: Longer pieces are encoded each time and not kept.
@@ -188,10 +190,17 @@ class PieceCounter:
         return out
 
 
+def _coder(kind: str, path: str, make: type) -> object:
+    claim(f"{kind} {path}", _CODERS.clear)
+    if (kind, path) not in _CODERS:
+        _CODERS[kind, path] = make(path)
+    return _CODERS[kind, path]
+
+
 def byte_encoder(path: str) -> ByteEncoder:
     """The worker's encoder for ``path``; it and its table outlive the task."""
-    return _CODERS.setdefault(("byte", path), None) or _CODERS.__setitem__(("byte", path), ByteEncoder(path)) or _CODERS["byte", path]
+    return _coder("byte", path, ByteEncoder)
 
 
 def piece_counter(path: str) -> PieceCounter:
-    return _CODERS.setdefault(("piece", path), None) or _CODERS.__setitem__(("piece", path), PieceCounter(path)) or _CODERS["piece", path]
+    return _coder("piece", path, PieceCounter)

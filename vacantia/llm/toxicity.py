@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import claim, slices, texts_of
 
 BITS = 20
 #: Documented bound of the labelled sample that is learnt from, by a hash of the ids, and passes over it.
@@ -23,7 +23,7 @@ EPOCHS = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
 
-_WORD_ENTRIES = 500_000
+_WORD_ENTRIES = 300_000
 _TRIM = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»¿¡“”„‘’…–—"
 
 
@@ -55,6 +55,7 @@ def features(text: str):
     """Places of all features of a text, with repeats."""
     import numpy as np
 
+    claim("toxicity", _CACHE.clear)
     if not _CACHE or len(_CACHE[0]) > _WORD_ENTRIES:
         _CACHE[:] = [_Words()]
     table, raw = _CACHE[0], text.lower().split()
@@ -111,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> list[t
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        for batch in batches:
+        for batch in slices(batches):
             sets = [np.unique(features(t)).tobytes() for t in texts_of(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["doc_id", "label", "at"])
 
@@ -150,7 +151,7 @@ def score(docs: DataFrame, weights: list[tuple[int, float]], id_col: str = "doc_
         dense = np.zeros((1 << BITS) + 1)
         for place, weight in sent.value:
             dense[place] = weight
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text in texts_of(batch.column(batch.schema.get_field_index(text_col))):
                 at = features(text)
