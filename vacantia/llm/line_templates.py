@@ -1,6 +1,6 @@
 """Operator 8, line dedup: a log-template tree of fixed depth, built with shuffles instead of one by one.
 
-A line is filed by its number of tokens and its leading tokens, tokens with a digit being variable. In a leaf, two
+A line is filed by its number of tokens and its leading tokens, tokens with a digit (0 to 9) being variable. In a leaf, two
 lines have the same template if they differ in few tokens, which then are variable too. The rest of a line is cut
 into one more segments than tokens may differ, so that lines of a template agree on a segment: (leaf, segment) is a
 key, under which every line is compared with the key's first and last line. Lines compared well are linked; a
@@ -27,10 +27,14 @@ def variable_fields(n: int) -> int:
     return 0 if n < 6 else 1 if n < 12 else 2
 
 
+def _has_digit(text: str) -> bool:
+    return any(d in text for d in "0123456789")
+
+
 def _masked(line: str) -> list[str]:
     tokens = line.split()
-    if any(c.isdigit() for c in line):
-        tokens = ["<*>" if any(c.isdigit() for c in t) else t for t in tokens]
+    if _has_digit(line):
+        tokens = ["<*>" if _has_digit(t) else t for t in tokens]
     return tokens
 
 
@@ -51,25 +55,24 @@ def file_line(tokens: list[str]) -> tuple[list[int], bytes]:
     import xxhash
 
     claim("lines", _BYTES.clear)
+    if len(_BYTES) > 300_000:
+        _BYTES.clear()
     n, lead, rest = len(tokens), tokens[:LEAD], tokens[LEAD:]
     cuts = variable_fields(n) + 1
     leaf = f"{n} {' '.join(lead)} "
     keys = [_signed(xxhash.xxh3_64_intdigest(leaf + f"{k} " + " ".join(rest[len(rest) * k // cuts : len(rest) * (k + 1) // cuts]))) for k in range(cuts)]
-    return keys, b"".join(map(token_bytes, tokens))
+    return keys, b"".join(map(_BYTES.__getitem__, tokens))
 
 
-_BYTES: dict[str, bytes] = {}
+class _TokenBytes(dict):
+    def __missing__(self, token: str) -> bytes:
+        import zlib
 
+        b = self[token] = (zlib.crc32(token.encode()) & 65535).to_bytes(2, "little")
+        return b
 
-def token_bytes(token: str) -> bytes:
-    import zlib
 
-    if len(_BYTES) > 300_000:
-        _BYTES.clear()
-    b = _BYTES.get(token)
-    if b is None:
-        b = _BYTES[token] = (zlib.crc32(token.encode()) & 65535).to_bytes(2, "little")
-    return b
+_BYTES = _TokenBytes()
 
 
 def same_template(a: bytes, b: bytes) -> bool:
