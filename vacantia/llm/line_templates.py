@@ -116,7 +116,7 @@ def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     pairs = index.join(ends, "key").select("line", F.explode(F.array("lo", "hi")).alias("other")).where("line <> other").distinct()
     pairs, pairs_path = materialize(pairs, "line-pairs")
     named = pairs.select("line").union(pairs.select("other")).distinct()
-    known = lines.select("line", "bytes").join(named, "line").groupBy("line").agg(F.first("bytes").alias("bytes"))
+    known = lines.select("line", "bytes").join(named, "line").distinct()  # a line has the same bytes everywhere
     known, known_path = materialize(known, "line-bytes")
     both = pairs.join(known.withColumnRenamed("bytes", "a"), "line").join(known.select(F.col("line").alias("other"), F.col("bytes").alias("b")), "other")
 
