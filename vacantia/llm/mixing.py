@@ -27,9 +27,9 @@ def rates(docs: DataFrame, source_col: str, weights: dict[str, float] | None, to
     weight = F.lit(1.0)
     if weights is not None:
         weight = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))]), F.coalesce("source", F.lit(""))), F.lit(0.0)) if weights else F.lit(0.0)
-    sums = sizes.select("n", weight.alias("w")).agg(F.sum("n").alias("all"), F.sum("w").alias("sum_w"))
-    wanted = F.lit(total) if total is not None else F.col("all")
-    return sizes.withColumn("w", weight).crossJoin(F.broadcast(sums)).select("source", F.when(F.col("sum_w") > 0, wanted * F.col("w") / F.col("sum_w") / F.col("n")).otherwise(0.0).alias("rate"))
+    found = sizes.select("n", weight.alias("w")).agg(F.sum("n"), F.sum("w")).first()
+    wanted, sum_w = total if total is not None else found[0] or 0, found[1] or 0.0
+    return sizes.select("source", (F.lit(float(wanted)) * weight / sum_w / F.col("n") if sum_w > 0 else F.lit(0.0)).alias("rate"))
 
 
 def cumulative(rate: Column) -> Column:
