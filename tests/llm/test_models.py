@@ -120,7 +120,7 @@ def test_edited_texts(spark):
 
 def test_media_copies(spark):
     draw = np.random.default_rng(2)
-    pictures = [draw_mosaic(draw.normal(size=64)) for _ in range(12)]
+    pictures = [draw_mosaic(draw.normal(size=64), 14) for _ in range(12)]
     rows = [(10 * k, encode(p)) for k, p in enumerate(pictures)]
     rows += [(1, encode(pictures[0][14:, 10:105])), (11, encode(np.clip(pictures[1] * 0.8 + 20, 0, 255))), (21, encode(np.rot90(pictures[2]))), (31, encode(pictures[3])), (200, None), (201, b"junk"), (202, b"junk"), (None, encode(pictures[4]))]
     got = {r["media_id"]: r for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()}
