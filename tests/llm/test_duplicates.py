@@ -137,3 +137,24 @@ def test_line_templates(spark):
         want.append((i, None if t is None else "\n".join(filter(keep, t.split("\n")))))
     assert got == sorted(want, key=str)
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def exact_links(known, threshold=0.8):
+    """All pairs of (id, text) at the similarity, by brute force over shingle sets."""
+    sets = [(i, {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))}) for i, t in known for w in [t.lower().split()]]
+    return [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if len(x & y) >= threshold * len(x | y)]
+
+
+def test_near_duplicates_near_the_threshold(spark):
+    draw = random.Random(16)
+    rows = []
+    for k in range(60):
+        n = (12, 30, 100, 400)[k % 4]
+        base = words(draw, n)
+        new = max(1, int(n * (0.1 if k % 2 else 0.19)))
+        start = draw.randrange(n - new)
+        edits = [[*base, *words(draw, new)], [*base[:start], *words(draw, n // 12), *base[start + n // 12 :]], base[new:], base[:-new]]
+        rows += [(10 * k, " ".join(base)), *((10 * k + 1 + i, " ".join(e)) for i, e in enumerate(edits))]
+    links = exact_links(rows)
+    got = {r["doc_id"]: r["group"] for r in near_duplicate_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(links) > 100 and got == union([i for i, _ in rows], links)
