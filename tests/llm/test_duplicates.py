@@ -6,7 +6,7 @@ import pytest
 
 from vacantia.llm.common import connected_components
 from vacantia.llm.line_templates import _masked, dedup_lines, line_id, variable_fields
-from vacantia.llm.near_duplicates import drop_near_duplicates, near_duplicate_groups, similarity, wide_fingerprint, within_budget
+from vacantia.llm.near_duplicates import block_pairs, drop_near_duplicates, near_duplicate_groups, shingle_prefix, similarity, wide_fingerprint, within_budget
 from vacantia.llm.simhash import fingerprint, link_fingerprints, simhash_components
 
 
@@ -158,3 +158,28 @@ def test_near_duplicates_near_the_threshold(spark):
     links = exact_links(rows)
     got = {r["doc_id"]: r["group"] for r in near_duplicate_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert len(links) > 100 and got == union([i for i, _ in rows], links)
+
+
+def test_near_duplicates_of_large_keys(spark):
+    draw = random.Random(18)
+    base = words(draw, 100)
+    rows = []
+    for k in range(150):  # copies that are near in chains only, among unlike ones that share their keys
+        copy = list(base) if k % 2 or not rows else rows[-1][1].split()
+        for _ in range((5, 2, 7, 2)[k % 4]):
+            copy[draw.randrange(100)] = f"edit{k}x{draw.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    links = exact_links(rows)
+    want = union([i for i, _ in rows], links)
+    assert 1 < len(set(want.values())) < 150
+    assert {r["doc_id"]: r["group"] for r in near_duplicate_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == want
+
+
+def test_block_pairs_lose_none():
+    draw = random.Random(19)
+    base = words(draw, 60)
+    texts = [" ".join(base[:k] + words(draw, 60 - k) if k % 2 else base[60 - k :] + words(draw, 60 - k)) for k in range(30, 60)]
+    members = [{"node": i, "component": i, "n": n, "pos": 0, "side": i > 14, "map": m} for i, (n, _, m) in enumerate(map(shingle_prefix, texts))]
+    links = exact_links(list(enumerate(texts)))
+    assert links and set(links) <= set(block_pairs(members, True, 0.8)) and len(block_pairs(members, True, 0.8)) < 2 * len(links) + 20
+    assert {(a, b) for a, b in links if a <= 14 < b} <= set(block_pairs(members, False, 0.8))
