@@ -183,3 +183,13 @@ def test_block_pairs_lose_none():
     links = exact_links(list(enumerate(texts)))
     assert links and set(links) <= set(block_pairs(members, True, 0.8)) and len(block_pairs(members, True, 0.8)) < 2 * len(links) + 20
     assert {(a, b) for a, b in links if a <= 14 < b} <= set(block_pairs(members, False, 0.8))
+
+
+def test_many_templates_in_one_key(spark):
+    draw = random.Random(20)
+    rows = []
+    for k in range(700):  # more lines of one key than a block holds
+        a, b = ("".join(draw.choices("bcdfghjk", k=12)) for _ in range(2))
+        rows += [(2 * k, f"shared lead {a} fixed {b} one tail here"), (2 * k + 1, f"shared lead {a} fixed {b}x one tail here")]
+    got = {r["doc_id"]: r["n_dropped"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert sum(got.values()) == 700 and all(got[2 * k + 1] == 1 for k in range(700))

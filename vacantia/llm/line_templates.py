@@ -3,7 +3,7 @@
 A line is filed by its number of tokens and its leading tokens, tokens with a digit (0 to 9) being variable. In a leaf, two
 lines have the same template if they differ in few tokens, which then are variable too. The rest of a line is cut
 into one more segments than tokens may differ, so that lines of a template agree on a segment: (leaf, segment) is a
-key, under which every line is compared with the key's first and last line. Lines compared well are linked; a
+key, under which all lines are compared with each other, a large key's block by block. Lines compared well are linked; a
 template is a component of links. A template that several documents have recurs: it stays in the first of them and is dropped from the others.
 """
 
@@ -20,6 +20,8 @@ from .common import claim, connected_components, materialize, remove_table, slic
 #: Shorter lines are left alone: they recur by chance.
 MIN_TOKENS = 3
 LEAD = 2
+#: Lines of a key that are compared in one go; a larger key's lines are dealt to blocks, and each two blocks compared.
+BLOCK = 512
 
 
 def variable_fields(n: int) -> int:
@@ -51,7 +53,7 @@ def line_id(line: str, min_tokens: int = MIN_TOKENS) -> int | None:
 
 
 def file_line(tokens: list[str]) -> tuple[list[int], bytes]:
-    """Tree keys of a masked line, and two bytes for each token by which lines are compared."""
+    """Tree keys of a masked line, and four bytes for each token by which lines are compared."""
     import xxhash
 
     claim("lines", _BYTES.clear)
@@ -68,7 +70,7 @@ class _TokenBytes(dict):
     def __missing__(self, token: str) -> bytes:
         import zlib
 
-        b = self[token] = (zlib.crc32(token.encode()) & 65535).to_bytes(2, "little")
+        b = self[token] = zlib.crc32(token.encode()).to_bytes(4, "little")
         return b
 
 
@@ -77,8 +79,34 @@ _BYTES = _TokenBytes()
 
 def same_template(a: bytes, b: bytes) -> bool:
     """Whether two lines in the form of :func:`file_line` have as many tokens, and differ in few enough."""
-    n = len(a) // 2
-    return len(a) == len(b) and sum(a[2 * i : 2 * i + 2] != b[2 * i : 2 * i + 2] for i in range(n)) <= variable_fields(n)
+    n = len(a) // 4
+    return len(a) == len(b) and sum(a[4 * i : 4 * i + 4] != b[4 * i : 4 * i + 4] for i in range(n)) <= variable_fields(n)
+
+
+def block_links(lines: list[int], forms: list[bytes], side: list[bool] | None = None) -> list[tuple[int, int]]:
+    """Links that join the lines of one key as :func:`same_template` of all pairs does: of each two components one link.
+
+    With ``side``, lines of the first side are compared only with those of the second.
+    """
+    import numpy as np
+
+    links = []
+    size = np.array([len(x) for x in forms])
+    for length in np.unique(size).tolist():
+        at = np.nonzero(size == length)[0]
+        tokens = np.frombuffer(b"".join(forms[i] for i in at), "u4").reshape(len(at), -1)
+        group, least = np.arange(len(at)), variable_fields(length // 4)
+        second = np.array([side[i] for i in at]) if side is not None else None
+        for i in range(len(at)):
+            if second is None:
+                j = i + 1 + np.nonzero(group[i + 1 :] != group[i])[0]
+            else:
+                j = np.nonzero(second & (group != group[i]))[0] if not second[i] else group[:0]
+            j = j[(tokens[j] != tokens[i]).sum(axis=1) <= least]
+            for other, k in zip(*np.unique(group[j], return_index=True), strict=True):
+                links.append((lines[at[i]], lines[at[j[k]]]))
+                group[group == other] = group[i]
+    return links
 
 
 def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -112,22 +140,27 @@ def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     lines, lines_path = materialize(filed, "lines")
 
     index = lines.select("line", F.explode("keys").alias("key"))
-    ends = index.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi")
-    pairs = index.join(ends, "key").select("line", F.explode(F.array("lo", "hi")).alias("other")).where("line <> other").distinct()
-    pairs, pairs_path = materialize(pairs, "line-pairs")
-    named = pairs.select("line").union(pairs.select("other")).distinct()
-    known = lines.select("line", "bytes").join(named, "line").distinct()  # a line has the same bytes everywhere
+    ends = index.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key")
+    shared, shared_path = materialize(index.join(ends, "key").select("key", "line").distinct(), "shared-lines")
+    known = lines.select("line", "bytes").join(shared.select("line").distinct(), "line").distinct()  # a line has the same bytes everywhere
     known, known_path = materialize(known, "line-bytes")
-    both = pairs.join(known.withColumnRenamed("bytes", "a"), "line").join(known.select(F.col("line").alias("other"), F.col("bytes").alias("b")), "other")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = shared.join(shared.groupBy("key").agg(F.count("*").alias("size")), "key").join(known, "line")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("line"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    member = F.struct("line", "bytes", (F.col("own") > F.col("other")).alias("second"))
+    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), member.alias("member"))
+    dealt = dealt.groupBy("key", "lo", "hi").agg(F.collect_list("member").alias("members")).select((F.col("lo") < F.col("hi")).alias("two"), "members")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 500):
-            ok = [same_template(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
+        for batch in slices(batches, 100):
+            found = []
+            for two, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found += block_links([m["line"] for m in members], [m["bytes"] for m in members], [m["second"] for m in members] if two else None)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    links = both.select("line", "other", "a", "b").mapInArrow(compare, "a bigint, b bigint")
+    links = dealt.mapInArrow(compare, "a bigint, b bigint")
     labels, labels_path = materialize(connected_components(links, "templates"), "templates")
-    for path in (pairs_path, known_path):
+    for path in (shared_path, known_path):
         remove_table(spark, path)
 
     each = lines.groupBy("line").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
