@@ -1,12 +1,14 @@
 """Token counts, token store and packing against the libraries and brute force."""
 
+import bisect
 import random
 import zlib
 
 import numpy as np
 import pytest
 
-from vacantia.llm.packing import build_sequences, pack_documents, sweep
+from vacantia.llm import packing
+from vacantia.llm.packing import build_sequences, longest_pieces, pack_documents, sweep_range
 from vacantia.llm.token_counts import count_tokens
 from vacantia.llm.token_ids import read_document, read_token_store, write_token_store
 from vacantia.llm.tokenizing import ByteEncoder, PieceCounter, tokenizer_path
@@ -33,6 +35,16 @@ def test_pieces_equal_the_libraries(encoder, counter):
     assert counter.count(texts) == [len(x) for x in counter.sp.encode(texts)]
 
 
+def test_every_code_point_has_the_librarys_ids(encoder):
+    assert encoder.merger is not None
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for low in range(0, len(points), 1 << 16):
+        texts = ["".join(f"a{c}b {c} 1{c}{c}." for c in points[k : k + 64]) for k in range(low, min(low + (1 << 16), len(points)), 64)]
+        assert encoder.encode(texts) == encoder.whole(texts)
+    long = [" " * 50_000 + "x", "a" * 30_000, "\n \t" * 30_000, "ab" * 20_000 + "<|endoftext|>"]
+    assert encoder.encode(long) == encoder.whole(long)
+
+
 def test_whole_tokens_are_proven(counter):
     words = list(counter.whole_tokens)[:500]
     assert len(counter.whole_tokens) > 10_000 and all(len(x) == 1 for x in counter.sp.encode(words))
@@ -60,39 +72,84 @@ def test_store_round_trip(spark, encoder, tmp_path):
     assert read_token_store(spark, folder + "2").count() == 0
 
 
-def test_sweep_places_all_without_overlap():
+def best_fit(pieces, gaps):
+    """Sizes of the gaps that pieces get, the longest first, each the smallest that is left and holds it."""
+    free, got = sorted(gaps), []
+    for p in sorted(pieces, reverse=True):
+        k = bisect.bisect_left(free, p)
+        got.append((p, free.pop(k) if k < len(free) else None))
+    return got
+
+
+def test_a_range_is_swept_by_best_fit():
     draw = random.Random(2)
-    for _ in range(200):
-        size = draw.choice([8, 16, 1024])
-        counts = {draw.randint(1, size): draw.randint(1, 30) for _ in range(draw.randint(1, 12))}
-        places, bins = sorted(sweep(counts, size)), {}
-        for length, n in counts.items():
-            own = [p for p in places if p[0] == length]
-            for r in range(n):
-                _, first, per, sequence, offset = [p for p in own if p[1] <= r][-1]
-                bins.setdefault(sequence + (r - first) // per, []).append((offset + length * ((r - first) % per), length))
-        for spans in bins.values():
-            at = 0
-            for offset, length in sorted(spans):
-                assert offset == at
-                at += length
-            assert at <= size
+    for _ in range(300):
+        pieces, gaps = ([draw.randint(1, 12) for _ in range(draw.randint(0, 15))] for _ in range(2))
+        events = sorted([(-g, False) for g in gaps] + [(-p, True) for p in pieces])
+        size, piece = np.array([-e[0] for e in events], dtype="int64"), np.array([e[1] for e in events], dtype=bool)
+        taken = sweep_range(piece, size)
+        got = [(int(size[k]), int(size[t]) if t >= 0 else None) for k, t in enumerate(taken) if piece[k]]
+        assert sorted(got, key=str) == sorted(best_fit(pieces, gaps), key=str)
+
+
+@pytest.mark.parametrize("rows", [7, 20_000])
+def test_sweeps_across_ranges_are_best_fit(spark, monkeypatch, rows):
+    monkeypatch.setattr(packing, "RANGE_ROWS", rows)
+    draw = random.Random(3)
+    pieces, gaps = [draw.randint(20, 40) for _ in range(90)], [draw.randint(10, 39) for _ in range(80)]
+    left = spark.createDataFrame(list(enumerate(pieces)), "key bigint, length bigint")
+    table, _ = packing.sweep(left, spark.createDataFrame(list(enumerate(gaps)), "seq bigint, gap bigint"), 40, 20, len(pieces), len(gaps))
+    rows = table.collect()
+    got = [(r["length"], None if r["seq"] is None else gaps[r["seq"]]) for r in rows]
+    assert sorted(got, key=str) == sorted(best_fit(pieces, [g for g in gaps if g >= 20]), key=str)
+    assert len({r["seq"] for r in rows if r["seq"] is not None}) == sum(r["seq"] is not None for r in rows)
+
+
+def test_longest_pieces(spark):
+    draw = random.Random(4)
+    lengths = [draw.randint(1, 5) for _ in range(500)]
+    left = spark.createDataFrame(list(enumerate(lengths)), "key bigint, length bigint")
+    for n in (1, 99, 250, 499, 500):
+        got = sorted(r["length"] for r in left.where(longest_pieces(left, n)).collect())
+        assert got == sorted(lengths)[-n:]
+
+
+def check_packing(rows, docs, encoder, size):
+    """Rows against the library's ids: every piece in its place, sequences without gaps, none too long."""
+    ids = {i: np.append(np.frombuffer(encoder.whole([t or ""])[0], "<u4"), 2).astype("<u4") for i, t in docs}
+    spans, pieces = {}, {}
+    for r in rows:
+        spans.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        pieces.setdefault(r["doc_id"], []).append(r)
+    for found in spans.values():
+        assert [o for o, _ in sorted(found)] == [0, *np.cumsum([n for _, n in sorted(found)])[:-1]] and sum(n for _, n in found) <= size
+    for i, own in pieces.items():
+        for piece, start in {(r["piece"], r["start"]) for r in own}:
+            n = len(ids[i]) % size or size
+            length = n if piece == 0 else size
+            assert start == (0 if piece == 0 else n + (piece - 1) * size)
+            assert {(r["length"], r["ids_crc32"]) for r in own if r["piece"] == piece} == {(length, zlib.crc32(ids[i][start : start + length].tobytes()))}
+    return ids, spans
 
 
 def test_packing(spark, encoder):
-    docs = spark.createDataFrame([*ROWS[:4], ROWS[4], (6, ROWS[4][1] + "x", "y"), *((10 + k, "w " * (k * 7 % 90), "z") for k in range(300))], SCHEMA)
+    draw = random.Random(5)
+    many = [(100 + k, "w " * draw.choice([0, 3, 9, 31, 32, 33, 64, 127, draw.randint(0, 200)]), "z") for k in range(300)]
+    rows = [*ROWS, (6, ROWS[4][1] + "x", "y"), *many, *many[:40], (99, many[7][1], None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
     packed = pack_documents(docs, "byte_bpe_50k.json", size=64, end_id=2)
-    rows = packed.collect()
-    sizes, pieces = {}, {}
-    for r in rows:
-        sizes.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
-        pieces.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"]))
-    for spans in sizes.values():
-        assert [o for o, _ in sorted(spans)] == [0, *np.cumsum([n for _, n in sorted(spans)])[:-1]] and sum(n for _, n in spans) <= 64
-    assert all(n == 64 for p in pieces.values() for k, _, n in p if k > 0)
-    total = sum(r["length"] for r in rows)
-    assert len(sizes) <= -(-total // 64) * 1.02 + 1
-    known = docs.where("doc_id is not null")
-    whole = build_sequences(known, packed.where("doc_id is not null"), "byte_bpe_50k.json", 64, 2).collect()
-    assert sum(len(r["ids"]) for r in whole) == sum(r["length"] for r in rows if r["doc_id"] is not None)
+    got = packed.collect()
+    ids, spans = check_packing(got, [r[:2] for r in rows], encoder, 64)
+    total = sum(len(ids[i]) for i, _, _ in rows)
+    open_gaps = []
+    for n in sorted((r["length"] for r in got), reverse=True):  # one by one
+        k = bisect.bisect_left(open_gaps, n)
+        bisect.insort(open_gaps, (open_gaps.pop(k) if k < len(open_gaps) else 64) - n)
+    assert sum(r["length"] for r in got) == total and len(spans) <= len(open_gaps) * 1.02 + 1
+    whole = build_sequences(docs, packed, "byte_bpe_50k.json", 64, 2).collect()
+    assert {r["sequence_id"]: len(r["ids"]) for r in whole} == {s: sum(n for _, n in x) for s, x in spans.items()}
+    place = {(r["sequence_id"], r["offset"]): ids[r["doc_id"]][r["start"] : r["start"] + r["length"]].tolist() for r in got}
+    assert all(r["ids"][o : o + len(x)] == x for r in whole for (s, o), x in place.items() if s == r["sequence_id"])
     assert pack_documents(docs.limit(0), "byte_bpe_50k.json").count() == 0
+    one = pack_documents(spark.createDataFrame([(1, "")], "doc_id bigint, text string"), "byte_bpe_50k.json", size=1).collect()
+    assert [(r["length"], r["offset"]) for r in one] == [(1, 0)]

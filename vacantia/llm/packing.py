@@ -1,92 +1,50 @@
 """Operator 10, best-fit packing: bulk-synchronous best fit of documents into sequences of fixed length.
 
-Documents longer than a sequence are cut into whole sequences, the first piece being the shorter one. Pieces are then
-dealt in supersteps, the longest length first. In each, the pieces of that length stand in the order of
-their rank, the gaps of all open sequences stand in the order of their size, and a sweep gives to the pieces
-the successor gaps: the smallest that hold them. Pieces that want the same gap are told apart by rank: the
-k-th takes the k-th. Gaps are updated before the next superstep, and pieces without a gap open sequences.
-
-Lengths and gaps are integers up to the sequence length, so equal ones form runs (first rank or sequence, how many). The
-sweeps work on runs: at most one class a length, and a few times as many runs of sequences, whatever the number
-of documents. What grows with the data, ranking pieces and handing them their places, is distributed.
+Documents longer than a sequence are cut into whole sequences, the first piece being the shorter one. Whole sequences need no fitting. The other
+pieces are dealt in supersteps, class by class from the longest lengths. A superstep sorts its pieces and the
+gaps of all open sequences together by range of size, larger ones first, a gap before a piece of its size, and sweeps down: a gap is put
+on a stack, a piece takes the top, which is the smallest gap that holds it. Pieces that want the same gap thus get it and its successors in the
+order of their ranks. Each task sweeps its own range; what a range leaves over, pieces without a gap and then gaps without a piece, is
+matched across ranges by depth: the stack's height at the range's begin follows from what the ranges before left over, and a piece
+takes the last gap that raised the stack to the height it lowers. Then gaps are updated, and the class is swept again until no gap holds any
+of its pieces; as many sequences as these need at least are opened with the longest of them, and so on.
+
+A gap that holds several of the longest of a class offers that many slots. All state is in tables of the shared folder, a few numbers a piece;
+only counts come to the driver.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, texts_of
+from .common import materialize, remove_table, slices, texts_of
 from .tokenizing import byte_encoder, tokenizer_path
 
-#: Groups that the ranks of one length are counted in, so that no task ranks a whole length.
-RANK_GROUPS = 256
+#: Pieces and gaps that a range of a sweep has, about.
+RANGE_ROWS = 20_000
+#: A class is swept again if at least one in so many of its pieces found a gap; else it opens sequences first.
+AGAIN = 10
 
 
-def sweep(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
-    """Places for ``counts`` pieces of each length: (length, first rank, pieces in each sequence, first sequence, offset).
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids: bool = False) -> DataFrame:
+    """Pieces of tokenized documents: key (a number of its own for each), doc_id, piece, start, length, ids_crc32, and ids if asked for.
 
-    A row holds from its first rank to that of the next row of the length; piece r of it goes to sequence first + (r - first
-    rank) // pieces, at offset + length * ((r - first rank) % pieces).
+    The key counts rows within partitions: it is to be stored before it is read twice.
     """
-    runs: dict[int, list[tuple[int, int]]] = {}
-    gaps: list[int] = []
-    places, opened = [], 0
-
-    def add(gap: int, first: int, n: int) -> None:
-        if gap and n:
-            if gap not in runs:
-                runs[gap] = []
-                insort(gaps, gap)
-            runs[gap].append((first, n))
-
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        while left:
-            k = bisect_left(gaps, length)
-            if k < len(gaps):
-                gap = gaps[k]
-                first, n = runs[gap].pop()
-                if not runs[gap]:
-                    del runs[gap]
-                    gaps.pop(k)
-            else:
-                gap, first = size, opened
-                n = -(-left // (size // length))
-                opened += n
-            per = gap // length
-            full = min(n, left // per)
-            if full:
-                places.append((length, rank, per, first, size - gap))
-                add(gap - per * length, first, full)
-                rank, left = rank + full * per, left - full * per
-            elif left:
-                places.append((length, rank, per, first, size - gap))
-                add(gap - left * length, first, 1)
-                rank, left, full = rank + left, 0, 1
-            add(gap, first + full, n - full) if gap < size or left == 0 else None
-            if gap == size and left and n > full:
-                places.append((length, rank, per, first + full, 0))
-                add(size - left * length, first + full, 1)
-                left = 0
-    return places
-
-
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
-    """Pieces of tokenized documents: doc_id, piece, start, length, ids_crc32, and the group its rank is counted in."""
     path = tokenizer_path(tokenizer)
-    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, rank_group int"
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    schema = "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int32())] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
         from pyspark import TaskContext
 
-        end, group = end_id.to_bytes(4, "little"), TaskContext.get().partitionId() % RANK_GROUPS
+        end, key = end_id.to_bytes(4, "little"), TaskContext.get().partitionId() << 36
         for batch in slices(batches):
             out = [[] for _ in types]
             for doc, ids in zip(batch.column(0).to_pylist(), byte_encoder(path).encode(texts_of(batch.column(1))), strict=True):
@@ -94,48 +52,165 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> Dat
                 n, at, piece = len(ids) // 4, 0, 0
                 while at < n:
                     length = (n % size or size) if at == 0 else size
-                    for column, x in zip(out, (doc, piece, at, length, zlib.crc32(ids[4 * at : 4 * (at + length)]), group), strict=True):
+                    data = ids[4 * at : 4 * (at + length)]
+                    for column, x in zip(out, (key, doc, piece, at, length, zlib.crc32(data), *[np.frombuffer(data, "<i4")] * with_ids), strict=True):
                         column.append(x)
-                    at, piece = at + length, piece + 1
+                    at, piece, key = at + length, piece + 1, key + 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
-    """``pieces`` (a stored table with length and rank_group) with sequence_id and offset instead of rank_group."""
-    order = [c for c in pieces.columns if c not in ("length", "rank_group")]
-    groups = pieces.groupBy("length", "rank_group").agg(F.count("*").alias("n"))
-    ranks = groups.select("length", "rank_group", (F.sum("n").over(Window.partitionBy("length").orderBy("rank_group")) - F.col("n")).alias("before"))
-    counts = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row for each length up to ``size``
-    places = sorted(sweep(counts, size))
-    ranked = pieces.withColumn("in_group", F.row_number().over(Window.partitionBy("length", "rank_group").orderBy(*order)) - 1)
-    ranked = ranked.join(F.broadcast(ranks), ["length", "rank_group"])  # at most size * RANK_GROUPS rows
-    ranked = ranked.withColumn("rank", F.col("before") + F.col("in_group")).drop("before", "in_group", "rank_group")
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    kept = [c for c in ranked.columns if c != "rank"]
-    schema = StructType([*(ranked.schema[c] for c in kept), StructField("sequence_id", LongType()), StructField("offset", LongType())])
+def sweep_range(piece, size):
+    """Best fit within one range, sorted by falling size, gaps before pieces: the event of the gap that each event's piece takes, -1 for none.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+    The stack's height before and after each event is a running sum; a piece takes the gap that last raised the stack to the height that
+    the piece lowers, which, with events sorted by that height, stands right before it.
+    """
+    import numpy as np
+
+    height = np.cumsum(np.where(piece, -1, 1)) + piece
+    order = np.argsort(height, kind="stable")
+    a, b = order[:-1], order[1:]
+    ok = (height[a] == height[b]) & ~piece[a] & piece[b]
+    taken = np.full(len(piece), -1)
+    taken[b[ok]] = a[ok]
+    return taken
+
+
+def _sweep_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A range's events (size, piece, id, slot) to its pieces with the gap they take, and what is left over, with its rank."""
+    import numpy as np
+    from pyspark import TaskContext
+
+    batches = list(batches)
+    size, piece, own, slot = (np.concatenate([np.zeros(0, t), *(b.column(k).to_numpy(zero_copy_only=False) for b in batches)]) for k, t in enumerate(("int64", bool, "int64", "int32")))
+    taken = sweep_range(piece, size)
+    used = np.zeros(len(piece), dtype=bool)
+    used[taken[taken >= 0]] = True
+    keep = np.flatnonzero(~used)
+    at, found = taken[keep], taken[keep] >= 0
+    over = piece[keep] & ~found, ~piece[keep]
+    rank = np.where(over[0], np.cumsum(over[0]), np.where(over[1], np.cumsum(over[1]), 0))
+    seq = pa.array(own[at], pa.int64(), mask=~found)
+    arrays = [pa.array(np.full(len(keep), TaskContext.get().partitionId()), pa.int32()), pa.array(piece[keep]), pa.array(own[keep]), pa.array(np.where(found, slot[at], slot[keep]), pa.int32()), pa.array(size[keep]), seq, pa.array(rank, pa.int64())]
+    yield pa.RecordBatch.from_arrays(arrays, names=["part", "piece", "id", "slot", "size", "seq", "rank"])
+
+
+def sweep(left: DataFrame, gaps: DataFrame, longest: int, least: int, n_left: int, n_gaps: int) -> tuple[DataFrame, str]:
+    """Best fit of the pieces ``left`` (key, length) to ``gaps`` (seq, gap): a stored table of them (key, length, seq, slot), seq null without a gap, and its path.
+
+    A gap is taken by one piece, or offers a slot of size ``longest`` to each of up to twice as many as there are pieces for it; ``least`` is the
+    shortest piece. The counts size the ranges.
+    """
+    slots = F.least(F.greatest(F.floor(F.col("gap") / longest), F.lit(1)), F.lit(max(1, -(-2 * n_left // max(1, n_gaps)))))
+    offered = gaps.where(F.col("gap") >= least).withColumn("n", slots).withColumn("slot", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))))
+    room = F.when(F.col("slot") == F.col("n") - 1, F.col("gap") - longest * (F.col("n") - 1)).otherwise(F.lit(longest))
+    events = offered.select(room.cast("bigint").alias("size"), F.lit(False).alias("piece"), F.col("seq").alias("id"), "slot")
+    events = events.unionByName(left.select(F.col("length").alias("size"), F.lit(True).alias("piece"), F.col("key").alias("id"), F.lit(0).alias("slot")))
+    order = [F.desc("size"), F.asc("piece"), F.asc("id"), F.asc("slot")]
+    ranges = max(1, -(-(3 * n_left + n_gaps) // RANGE_ROWS))
+    ranged = events.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    swept, swept_path = materialize(ranged.mapInArrow(_sweep_ranges, "part int, piece boolean, id bigint, slot int, size bigint, seq bigint, rank bigint"), "swept")
+
+    over = swept.where("rank > 0")
+    parts = over.groupBy("part").agg(F.count_if("piece").alias("pieces"), F.count_if(~F.col("piece")).alias("gaps"))  # a row a range
+    begin = parts.withColumn("height", F.coalesce(F.sum(F.col("gaps") - F.col("pieces")).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    height = F.when(F.col("piece"), F.col("height") - F.col("rank") + 1).otherwise(F.col("height") - F.col("pieces") + F.col("rank"))
+    level = over.join(begin.select("part", "pieces", "height"), "part").withColumn("level", height)
+    # at one height a range has at most a piece and then a gap
+    before = F.lag(F.struct("piece", "id", "slot")).over(Window.partitionBy("level").orderBy("part", F.desc("piece")))
+    late = level.withColumn("before", before).where("piece")
+    taken = F.col("before").isNotNull() & ~F.col("before.piece")
+    late = late.select(F.col("id").alias("key"), F.col("size").alias("length"), F.when(taken, F.col("before.id")).alias("seq"), F.when(taken, F.col("before.slot")).otherwise(0).alias("slot"))
+    early = swept.where("rank = 0").select(F.col("id").alias("key"), F.col("size").alias("length"), "seq", "slot")
+    result = materialize(early.unionByName(late), "fitted")
+    remove_table(left.sparkSession, swept_path)
+    return result
 
-        length, first, per, sequence, offset = (np.array(c, dtype="int64") for c in zip(*places, strict=True)) if places else [np.zeros(0, "int64")] * 5
-        bounds = np.searchsorted(length, np.arange(size + 2))  # of each length's rows
-        order = [np.ascontiguousarray(first[bounds[s] : bounds[s + 1]]) for s in range(size + 1)]
-        for batch in batches:
-            n = batch.column(batch.schema.get_field_index("length")).to_numpy()
-            r = batch.column(batch.schema.get_field_index("rank")).to_numpy()
-            at = np.empty(len(n), dtype="int64")
-            for s in np.unique(n):
-                own = n == s
-                at[own] = bounds[s] + np.searchsorted(order[s], r[own], side="right") - 1
-            k = r - first[at]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(sequence[at] + k // per[at]), pa.array(offset[at] + n * (k % per[at]))], names=[*kept, "sequence_id", "offset"]
-            )
 
-    return ranked.mapInArrow(run, schema)
+def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
+    """``pieces`` (a stored table with key and length) without key, with sequence_id and offset."""
+    spark = pieces.sparkSession
+    steps: list[DataFrame] = []
+    stored: list[str] = []
+
+    def assign(table: DataFrame) -> None:
+        """Pieces (key, length, seq, slot) that have their sequence, in the order of the calls."""
+        steps.append(table.select("key", "length", "seq", F.lit(len(steps)).alias("step"), F.col("slot").cast("int").alias("slot")))
+
+    def keep(table: DataFrame, label: str) -> DataFrame:
+        table, path = materialize(table, label)
+        stored.append(path)
+        return table
+
+    own = pieces.select("key", "length")
+    found = lambda table: table.select("key", "length", F.col("key").alias("seq"), F.lit(0).alias("slot"))
+    # two pieces of more than half a sequence never share one
+    alone = own.where((F.col("length") * 2 > size) & (F.col("length") < size))
+    assign(found(alone))
+    gaps = alone.select(F.col("key").alias("seq"), (size - F.col("length")).alias("gap"))
+    cuts = [*dict.fromkeys(size // k for k in (2, 3, 4, 8, 16)), 0]
+    for longest, above in zip(cuts, cuts[1:], strict=False):
+        left = own.where((F.col("length") <= longest) & (F.col("length") > above))
+        swept = 0  # pieces that the last sweep had, 0 if it is to be swept in any case
+        while True:
+            n, total, least = left.agg(F.count("*"), F.sum("length"), F.min("length")).first()
+            if not n:
+                break
+            n_gaps = gaps.where(F.col("gap") >= least).count() if not swept or (swept - n) * AGAIN >= swept else 0
+            if n_gaps:
+                fitted, path = sweep(left, gaps, longest, least, n, n_gaps)
+                stored.append(path)
+                swept, taken = n, fitted.where("seq is not null")
+                assign(taken)
+                used = taken.groupBy("seq").agg(F.sum("length").alias("used"))
+                gaps = keep(gaps.join(used, "seq", "left").select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).where("gap > 0"), "gaps")
+                left = fitted.where("seq is null").select("key", "length")
+                continue
+            # the fewest sequences that can hold them are opened with the longest
+            first = longest_pieces(left, max(-(-total // size), -(-n // max(1, size // (above + 1)))))
+            opened, left = (keep(left.where(c), label) for c, label in ((first, "opened"), (~first, "left")))
+            assign(found(opened))
+            gaps = keep(gaps.unionByName(opened.select(F.col("key").alias("seq"), (size - F.col("length")).alias("gap")).where("gap > 0")), "gaps")
+            swept = 0
+    assigned = steps[0]
+    for step in steps[1:]:
+        assigned = assigned.unionByName(step)
+    in_order = Window.partitionBy("seq").orderBy("step", "slot", "key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = assigned.select("key", F.col("seq").alias("sequence_id"), F.coalesce(F.sum("length").over(in_order), F.lit(0)).alias("offset"))
+    columns = [c for c in pieces.columns if c != "key"]
+    whole = pieces.where(F.col("length") == size).select(*columns, F.col("key").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    result, _ = materialize(whole.unionByName(pieces.where(F.col("length") < size).join(placed, "key").select(*columns, "sequence_id", "offset")), "packed")
+    for path in stored:
+        remove_table(spark, path)
+    return result
+
+
+def longest_pieces(left: DataFrame, n: int) -> Column:
+    """Condition that holds for the ``n`` longest pieces of ``left`` (key, length); among equals for those whose keys have the least hashes.
+
+    The shortest length comes from the counts of all lengths, the largest hash digit by digit from counts by digit.
+    """
+    counts = {r["length"]: r["count"] for r in left.groupBy("length").count().collect()}  # a row for each length up to a sequence's
+    for length in sorted(counts, reverse=True):
+        if n < counts[length]:
+            break
+        n -= counts[length]
+    else:
+        return F.lit(True)
+    bits, digit, prefix, least = 60, 12, 0, 0
+    own = F.shiftrightunsigned(F.xxhash64("key"), 64 - bits)
+    for shift in range(bits - digit, -1, -digit):
+        if n:
+            within = left.where((F.col("length") == length) & (F.shiftright(own, shift + digit) == prefix))
+            for prefix, count in sorted(map(tuple, within.groupBy(F.shiftright(own, shift)).count().collect())):  # at most 2**12 rows
+                least = prefix << shift
+                if n < count:
+                    break
+                n, least = n - count, (prefix + 1) << shift
+    least += n > 0  # equal hashes to the last bit are taken together
+    return (F.col("length") > length) | ((F.col("length") == length) & (own < F.lit(least)))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -> DataFrame:
@@ -145,23 +220,20 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: in
     special ones added, then ``end_id``. A null text is the empty text (one token). Repeated rows and repeated or null
     doc_ids are packed each as a document of its own. An empty table gives no pieces. Other columns are ignored.
     """
-    pieces, _ = materialize(token_pieces(docs, tokenizer, end_id, size), "pieces")
-    return place_pieces(pieces, size)
+    pieces, path = materialize(token_pieces(docs, tokenizer, end_id, size), "pieces")
+    result = place_pieces(pieces, size)
+    remove_table(docs.sparkSession, path)
+    return result
 
 
 def build_sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -> DataFrame:
-    """The sequences themselves, (sequence_id, ids array<int>), for documents whose doc_id is unique. A sequence never has more than ``size`` ids."""
-    path = tokenizer_path(tokenizer)
+    """The sequences themselves, (sequence_id, ids array<int>), of ``docs`` packed by :func:`pack_documents` with the same arguments.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        end = end_id.to_bytes(4, "little")
-        for batch in slices(batches):
-            ids = [np.frombuffer(x + end, "<u4").astype("int32") for x in byte_encoder(path).encode(texts_of(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
-
-    tokens = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, ids array<int>")
-    spans = packed.join(tokens, "doc_id").select("sequence_id", "offset", F.slice("ids", F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("ids"))
+    A sequence never has more than ``size`` ids. Pieces are found again by id, number, length and checksum, so that copies of a document, and documents that
+    share an id, each have their ids in each of their places.
+    """
+    same = ["doc_id", "piece", "length", "ids_crc32"]
+    known = token_pieces(docs, tokenizer, end_id, size, with_ids=True).select(*same, "ids").dropDuplicates(same).alias("k")
+    spans = packed.alias("p").join(known, [F.col(f"p.{c}").eqNullSafe(F.col(f"k.{c}")) for c in same]).select("p.sequence_id", "p.offset", "k.ids")
     whole = spans.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("spans"))
     return whole.select("sequence_id", F.flatten(F.col("spans.ids")).alias("ids"))

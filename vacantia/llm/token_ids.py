@@ -43,7 +43,8 @@ def unpack_ids(data: bytes) -> bytes:
 
 
 def _train(docs: DataFrame, path: str, end_id: int) -> tuple[str, bytes]:
-    """The dictionary, trained in one task on DICTIONARY_DOCS documents chosen by a hash of their ids; empty where they are too few."""
+    """The dictionary, trained in one task on at most DICTIONARY_DOCS documents chosen by a hash of their ids (rows without an id are not chosen, of rows with the same id
+    the least text is); empty where they are too few."""
     import pandas as pd
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,7 +58,11 @@ def _train(docs: DataFrame, path: str, end_id: int) -> tuple[str, bytes]:
             found = b""
         yield pd.DataFrame({"dictionary": [found]})
 
-    sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(DICTIONARY_DOCS)
+    # ids below a hash bound first, so that whatever the table's size a few thousand ids meet, and of the texts only those chosen
+    share = min(1.0, 4 * DICTIONARY_DOCS / max(1, docs.count()))
+    hashed = docs.select("doc_id", F.xxhash64("doc_id").alias("h")).where(F.col("doc_id").isNotNull() & (F.shiftrightunsigned("h", 11) <= int(share * (1 << 53))))
+    ids = hashed.distinct().orderBy("h", "doc_id").limit(DICTIONARY_DOCS).select("doc_id")
+    sample = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id")
     rows = sample.select("text").coalesce(1).mapInPandas(run, "dictionary binary").collect()
     found = bytes(rows[0][0]) if rows else b""
     return hashlib.sha256(found).hexdigest()[:16], found

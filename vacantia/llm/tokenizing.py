@@ -1,8 +1,7 @@
-"""Public tokenizers applied to many texts, with the work on repeated pre-tokens done once.
+"""Public tokenizers applied to many texts.
 
-Both encoders cut a text only where the tokenizer itself never joins what stands on either side, look
-each piece up in a bounded table, and give the pieces they have not met to the library. Their output
-equals that of the library on the whole text; the tests compare the two.
+The output of both equals that of the file's library on the whole text; the tests compare the two. Ids come from the fastest
+merger that is shown to give the library's; counts come from a bounded table of words, cut where no token crosses.
 """
 
 from __future__ import annotations
@@ -29,42 +28,29 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Ids(dict):
-    """Ids of pieces. A piece not met before gets an empty place, which is filled once its ids are known."""
-
-    def __init__(self):
-        super().__init__()
-        self.open: dict[str, bytearray] = {}
-
-    def __missing__(self, piece: str) -> bytearray:
-        place = self[piece] = self.open[piece] = bytearray()
-        return place
-
-
-#: White space besides the space and the line feed; a text that has some takes the slower cut.
-_OTHER_SPACE_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
-_OTHER_SPACE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-
-
-def _plain_spacing(text: str) -> bool:
-    """Whether white space is single spaces and line feeds between other characters."""
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
-        return False
-    return not any(c in text for c in _OTHER_SPACE_ASCII) and (text.isascii() or not any(c in text for c in _OTHER_SPACE))
+def _byte_letters() -> dict[str, int]:
+    """The byte each letter of a byte-level vocabulary stands for: printable bytes stand for themselves, the others follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
 class ByteEncoder:
     """Ids by a byte-level BPE file of the tokenizers library, no special tokens added, as little-endian uint32 bytes.
 
-    Cuts: before a space that a non-space character follows (the pattern that splits text puts such a space at the
-    head of the next pre-token), and before a line feed between two other characters. A text with
-    an added token's string in it goes to the library whole.
+    Where the file is plain byte-level BPE whose merges make the ids in their order, lowest rank first is lowest id first, and
+    tiktoken's merger over the file's own vocabulary gives the library's ids; the tests compare the two, on every code point among
+    others. A file that is not so, a text with an added token's string in it, and one with a run of white space too long for that
+    merger's pattern go to the library whole. Nothing is kept between texts, so that a worker's memory does not grow.
     """
 
-    _CUT = re.compile(r" (?=\S)")
-    _SPACE = re.compile(r"\s")
+    #: Texts up to this length can't have a run of white space that is too long.
+    SHORT = 20_000
+    _RUN = re.compile(r"\s{20000}")
 
     def __init__(self, path: str):
+        import json
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -72,57 +58,42 @@ class ByteEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        line_feed = self.tok.encode("\n", add_special_tokens=False).ids
-        self.skip = 4 * len(line_feed)
-        self.feed = b"".join(i.to_bytes(4, "little") for i in line_feed) if len(line_feed) == 1 else b""
-        self.cache = _Ids()
+        with open(path, encoding="utf-8") as f:
+            self.merger = self._merger(json.load(f))
+
+    @staticmethod
+    def _merger(spec: dict):
+        """The merger over the file's vocabulary, or None where its ids can't be taken for ranks."""
+        import tiktoken
+        from public_tokenizers import PATTERN
+
+        model, before = spec["model"], spec.get("pre_tokenizer") or {}
+        plain = model["type"] == "BPE" and spec.get("normalizer") is None and not model.get("dropout") and not model.get("ignore_merges")
+        plain = plain and not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "unk_token"))
+        plain = plain and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        letters, vocab = _byte_letters(), model["vocab"]
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        ranks = [vocab.get(t, -1) for t in merged]
+        if not plain or len(set(merged)) != len(merged) or ranks != sorted(ranks) or min(ranks, default=0) < len(letters):
+            return None
+        known = {bytes(letters[c] for c in t): i for t, i in vocab.items() if all(c in letters for c in t) and (len(t) == 1 or i >= ranks[0])}
+        return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=known, special_tokens={})
 
     def whole(self, texts: list[str]) -> list[bytes]:
+        """The library's own ids."""
         import numpy as np
 
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache = _Ids()
-        look, plans = self.cache.__getitem__, []
+        if self.merger is None:
+            return self.whole(texts)
+        ids, added = self.merger.encode_to_numpy, self.added
+        out = []
         for text in texts:
-            if not text:
-                plans.append((b"", [], 0))
-            elif any(a in text for a in self.added):
-                plans.append((self.whole([text])[0], [], 0))
-            elif _plain_spacing(text):
-                plans.append((b"", list(map(look, ("\n" + text.replace("\n", " \n")).split(" "))), self.skip))
-            else:
-                head, *parts = self._CUT.split(text)
-                plans.append((self.whole([head])[0], list(map(look, parts)), 0))
-        self._learn()
-        return [head + b"".join(ids)[skip:] for head, ids, skip in plans]
-
-    def _learn(self) -> None:
-        """Encode the open pieces: many in one text, with line feeds between, as the library takes long for each of many short texts."""
-        places, self.cache.open = self.cache.open, {}
-        plain = ([], [])
-        odd = []
-        for p in places:
-            after_feed = p[0] == "\n"
-            (odd if self._SPACE.search(p, after_feed) or len(p) == after_feed else plain[after_feed]).append(p)
-        for after_feed, words in enumerate(plain):
-            for at in range(0, len(words), 4096):
-                block = words[at : at + 4096]
-                ids = self.whole(["\n".join(p[1:] if after_feed else " " + p for p in block)])[0].split(self.feed) if self.feed else []
-                if len(ids) == len(block) and not any(len(x) % 4 for x in ids):
-                    for p, x in zip(block, ids, strict=True):
-                        places[p].extend(self.feed + x if after_feed else x)
-                else:
-                    odd += block
-        for p, x in zip(odd, self.whole([p if p[0] == "\n" else " " + p for p in odd]) if odd else [], strict=True):
-            places[p].extend(x)
-        for p, place in places.items():
-            if len(p) > CACHE_CHARS:
-                del self.cache[p]
-            else:
-                self.cache[p] = bytes(place)
+            odd = any(a in text for a in added) or len(text) > self.SHORT and self._RUN.search(text)
+            out.append(self.whole([text])[0] if odd else ids(text).astype("<u4", copy=False).tobytes())
+        return out
 
 
 class PieceCounter:
@@ -147,7 +118,7 @@ class PieceCounter:
         norm = spec.normalizer_spec
         pieces = [p.piece for p in spec.pieces]
         sound = norm.add_dummy_prefix and not norm.remove_extra_whitespaces and not norm.precompiled_charsmap and spec.trainer_spec.model_type == 2
-        sound = sound and not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces) and "▁" in pieces and not any(p.type == 4 for p in spec.pieces)
+        sound = sound and "<0x0A>" in pieces and not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces) and "▁" in pieces and not any(p.type == 4 for p in spec.pieces)
         if not sound:
             raise ValueError(f"{path}: texts can't be cut at spaces and line feeds under this model")
         candidates = [p[1:] for p in pieces if len(p) > 1 and p[0] == "▁" and p[1] != "▁"]
@@ -198,7 +169,7 @@ def _coder(kind: str, path: str, make: type) -> object:
 
 
 def byte_encoder(path: str) -> ByteEncoder:
-    """The worker's encoder for ``path``; it and its table outlive the task."""
+    """The worker's encoder for ``path``, which outlives the task."""
     return _coder("byte", path, ByteEncoder)
 
 
