@@ -4,8 +4,9 @@ import random
 
 import pytest
 
-from vacantia.llm.common import connected_components
-from vacantia.llm.line_templates import _masked, dedup_lines, line_id, variable_fields
+from vacantia.llm.common import connected_components, join_frequent
+from vacantia.llm import line_templates
+from vacantia.llm.line_templates import dedup_lines, file_line, line_id, masked, template_links, variable_fields
 from vacantia.llm.near_duplicates import block_pairs, drop_near_duplicates, near_duplicate_groups, shingle_prefix, similarity, wide_fingerprint, within_budget
 from vacantia.llm.simhash import fingerprint, link_fingerprints, simhash_components
 
@@ -24,8 +25,13 @@ def union(ids, links):
     return {i: find(i) for i in ids}
 
 
+def letters(number):
+    """A word without digits for a number."""
+    return "".join("bcdfghjkmn"[int(d)] for d in str(number))
+
+
 def words(draw, n, pool=4000):
-    return [f"{draw.choice('bcdfgh')}{draw.randrange(pool)}q" for _ in range(n)]
+    return [f"{draw.choice('pqrstv')}{letters(draw.randrange(pool))}" for _ in range(n)]
 
 
 def test_components(spark):
@@ -55,7 +61,7 @@ def test_links_join_all_within_distance(spark, hot):
         fps.add(base)
         for _ in range(draw.randint(0, 12)):
             x = base
-            for _ in range(draw.randint(0, 4)):
+            for _ in range(draw.randint(0, 2)):
                 x ^= 1 << draw.randrange(64)
             fps.add(x)
     fps = {f - (1 << 64) if f >> 63 else f for f in fps}
@@ -112,7 +118,7 @@ def test_line_templates(spark):
         lines = [" ".join(words(draw, draw.randint(3, 20))) for _ in range(draw.randint(1, 5))]
         if k % 3 == 0:
             line = shared[k % 5].split()
-            line[draw.randrange(2, 60)] = f"changed{k}"
+            line[draw.randrange(2, 60)] = f"changed{letters(k)}"
             lines.insert(1, " ".join(line))
         lines.append(f"Page {k} of the long report was printed on day {k * 3}")
         rows.append((k, "\n".join([*lines, "ok"]), k))
@@ -122,7 +128,7 @@ def test_line_templates(spark):
     for i, t, _ in rows:
         for line in (t or "").split("\n"):
             if i is not None and line_id(line) is not None:
-                names[line_id(line)] = _masked(line)
+                names[line_id(line)] = masked(line)
                 docs_of.setdefault(line_id(line), set()).add(i)
     alike = [(a, b) for a, x in names.items() for b, y in names.items() if a < b and len(x) == len(y) and x[:2] == y[:2] and sum(p != q for p, q in zip(x, y)) <= variable_fields(len(x))]
     template = union(names, alike)
@@ -193,3 +199,56 @@ def test_many_templates_in_one_key(spark):
         rows += [(2 * k, f"shared lead {a} fixed {b} one tail here"), (2 * k + 1, f"shared lead {a} fixed {b}x one tail here")]
     got = {r["doc_id"]: r["n_dropped"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert sum(got.values()) == 700 and all(got[2 * k + 1] == 1 for k in range(700))
+
+
+def brute_templates(lines):
+    """Template links of all pairs of token lists by name."""
+    return [(a, b) for a, x in lines.items() for b, y in lines.items() if a < b and len(x) == len(y) and x[:2] == y[:2] and sum(p != q for p, q in zip(x, y)) <= variable_fields(len(x))]
+
+
+@pytest.mark.parametrize(("cold", "most_open"), [(2, 5), (2, 24), (64, 24)])
+def test_template_links_are_exact(spark, monkeypatch, cold, most_open):
+    monkeypatch.setattr(line_templates, "OPEN", most_open)
+    draw, lines = random.Random(21), []
+    for k in range(60):
+        n = (6, 8, 11, 12, 17, 40)[k % 6]
+        base = ["shared", "lead", *words(draw, n - 2, 3 if k % 5 else 4000)]
+        for _ in range(draw.randint(2, 8)):
+            line = list(base)
+            for _ in range(draw.randint(0, 2)):
+                line[draw.randrange(n)] = f"new{letters(draw.randrange(3 * n))}"
+            lines.append(line)
+    lines += [["shared", "lead", "only", "three", "x"], ["shared", "lead", "only", "three", "y"]]
+    named = {line_id(" ".join(x)): masked(" ".join(x)) for x in lines}
+    rows = [(i, *file_line(x)) for i, x in named.items() if variable_fields(len(x))]
+    forms = spark.createDataFrame([*rows, *rows[:9]], "line bigint, keys array<bigint>, form binary")
+    links, brute = [tuple(r) for r in template_links(forms, cold).collect()], brute_templates(named)
+    assert len(brute) > 50 and {tuple(sorted(x)) for x in links} <= set(brute)
+    assert union(named, links) == union(named, brute)
+
+
+def test_templates_among_unlike_lines_of_a_leaf(spark):
+    draw = random.Random(22)
+    name = lambda: "".join(draw.choices("bcdfghjkmnp", k=9))
+    rows = [(k, f"Posted by admin on {name()} {name()}") for k in range(300)]
+    for k in range(40):
+        x = name()
+        rows += [(1000 + k, f"Posted by admin on {x} {name()}"), (2000 + k, f"Posted by admin on {x} {name()}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["n_dropped"] for r in dedup_lines(docs).collect()}
+    assert all(got[i] == (i >= 2000) for i, _ in rows)
+    both = {r["doc_id"]: r["n_dropped"] for r in dedup_lines(docs, keep_first=False).collect()}
+    assert all(both[i] == (i >= 1000) for i, _ in rows)
+
+
+def test_short_lines_and_lines_without_words(spark):
+    same = "字" * 60
+    rows = [(1, f"ok\n{same}\n1 2 3\n{same}7"), (2, f"ok\n{same}\n4 5 6\n{same}8"), (3, "ok then\n1 2 3")]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: rows[0][1], 2: f"ok\n4 5 6\n{same}8", 3: "ok then"}
+
+
+def test_frequent_keys_are_joined_alike(spark):
+    left = spark.createDataFrame([(k % 7 if k % 3 else 99, k) for k in range(3000)], "key bigint, x bigint")
+    right = spark.createDataFrame([(99, 1000, "a"), (1, 280, "b"), (5, 1, "c"), (500, 1, "d")], "key bigint, n bigint, y string")
+    assert sorted(map(tuple, join_frequent(left, right, "key").collect())) == sorted(map(tuple, left.join(right, "key").collect()))

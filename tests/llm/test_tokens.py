@@ -3,6 +3,7 @@
 import bisect
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -110,7 +111,7 @@ def test_longest_pieces(spark):
     lengths = [draw.randint(1, 5) for _ in range(500)]
     left = spark.createDataFrame(list(enumerate(lengths)), "key bigint, length bigint")
     for n in (1, 99, 250, 499, 500):
-        got = sorted(r["length"] for r in left.where(longest_pieces(left, n)).collect())
+        got = sorted(r["length"] for r in left.where(longest_pieces(left, Counter(lengths), n)).collect())
         assert got == sorted(lengths)[-n:]
 
 

@@ -18,10 +18,12 @@ _FALLBACK: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only where the session names none, a temporary one (tests, single machine)."""
+    """The folder all executors share. Where the session names none, a temporary one, if all tasks run on this machine."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _FALLBACK:
         _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="vacantia-")
@@ -54,6 +56,22 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(low, rows)
 
 
+#: Keys with more than one in so many of the rows are joined by broadcast; there are at most so many of them.
+FREQUENT = 1000
+
+
+def join_frequent(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key`` with a stored table that has each key once, and in ``n`` about how many rows ``left`` has of it.
+
+    Rows of frequent keys stay where they are, and what ``right`` has for those, at most FREQUENT rows, goes to them; only the others are shuffled.
+    """
+    total = right.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") > max(1, total // FREQUENT)
+    hot = F.broadcast(right.where(often))
+    rest = left.join(F.broadcast(right.where(often).select(key)), key, "left_anti").join(right.where(~often), key)
+    return left.join(hot, key).unionByName(rest)
+
+
 _OWNER: list[tuple[str, Callable[[], None]]] = []
 
 

@@ -1,27 +1,38 @@
 """Operator 8, line dedup: a log-template tree of fixed depth, built with shuffles instead of one by one.
 
 A line is filed by its number of tokens and its leading tokens, tokens with a digit (0 to 9) being variable. In a leaf, two
-lines have the same template if they differ in few tokens, which then are variable too. The rest of a line is cut
-into one more segments than tokens may differ, so that lines of a template agree on a segment: (leaf, segment) is a
-key, under which all lines are compared with each other, a large key's block by block. Lines compared well are linked; a
-template is a component of links. A template that several documents have recurs: it stays in the first of them and is dropped from the others.
+lines have the same template if they differ in few tokens, which then are variable too; a template is a component of such links. A
+template that several documents have recurs: it stays in the first of them, or in none, and is dropped from the others.
+
+Links are found exactly and without comparing all lines of a leaf. The rest of a line is cut into one more segments than
+tokens may differ, so that lines of a template agree on a segment: (leaf, segment) is a key. Lines of a key that has few are
+compared. A larger key is refined: what the key leaves open is cut into parts, some of which lines of a template must agree on, and
+each choice of those is a key of its own. Where little is left open, each choice of variable tokens is masked instead: lines with equal masks have the
+same template, and all are linked to the smallest, so that a frequent template costs a row a line and mask and no pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, connected_components, materialize, remove_table, slices, texts_of
+from .common import connected_components, join_frequent, materialize, remove_table, slices, texts_of
 
-#: Shorter lines are left alone: they recur by chance.
-MIN_TOKENS = 3
+#: Lines with fewer tokens and fewer characters are left alone: they recur by chance.
+MIN_TOKENS, MIN_CHARS = 3, 40
 LEAD = 2
-#: Lines of a key that are compared in one go; a larger key's lines are dealt to blocks, and each two blocks compared.
-BLOCK = 512
+VARIABLE = "<*>"
+#: Lines of a key that are compared with each other; positions left open that are masked instead of cut into parts.
+COLD, OPEN = 64, 24
+#: Lines whose forms are looked up by a broadcast of their names; more are joined by shuffle.
+BROADCAST_LINES = 500_000
+#: Lines that a task remembers having filed.
+SEEN = 100_000
 
 
 def variable_fields(n: int) -> int:
@@ -29,153 +40,213 @@ def variable_fields(n: int) -> int:
     return 0 if n < 6 else 1 if n < 12 else 2
 
 
-def _has_digit(text: str) -> bool:
-    return any(d in text for d in "0123456789")
-
-
-def _masked(line: str) -> list[str]:
+def masked(line: str) -> list[str]:
+    """Tokens of a line, those with a digit as variable ones; lines that would keep no token, or have too few, keep all."""
     tokens = line.split()
-    if _has_digit(line):
-        tokens = ["<*>" if _has_digit(t) else t for t in tokens]
-    return tokens
+    if len(tokens) < MIN_TOKENS or not any(d in line for d in "0123456789"):
+        return tokens
+    found = [VARIABLE if any(d in t for d in "0123456789") else t for t in tokens]
+    return found if any(t is not VARIABLE for t in found) else tokens
 
 
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def line_id(line: str, min_tokens: int = MIN_TOKENS) -> int | None:
-    """Hash of a line with its digit tokens masked; None for lines too short to be filed."""
+def _name(tokens: list[str], min_tokens: int) -> int | None:
     import xxhash
 
-    tokens = _masked(line)
-    return _signed(xxhash.xxh3_64_intdigest(" ".join(tokens))) if len(tokens) >= min_tokens else None
+    text = " ".join(tokens)
+    return _signed(xxhash.xxh3_64_intdigest(text)) if len(tokens) >= min_tokens or len(text) >= MIN_CHARS else None
+
+
+def line_id(line: str, min_tokens: int = MIN_TOKENS) -> int | None:
+    """Hash of a line with its digit tokens masked; None for lines too short to be filed."""
+    return _name(masked(line), min_tokens)
 
 
 def file_line(tokens: list[str]) -> tuple[list[int], bytes]:
-    """Tree keys of a masked line, and four bytes for each token by which lines are compared."""
+    """Tree keys of a masked line whose template may have variable tokens, and the 64-bit hash of each token."""
     import xxhash
 
-    claim("lines", _BYTES.clear)
-    if len(_BYTES) > 300_000:
-        _BYTES.clear()
     n, lead, rest = len(tokens), tokens[:LEAD], tokens[LEAD:]
     cuts = variable_fields(n) + 1
     leaf = f"{n} {' '.join(lead)} "
     keys = [_signed(xxhash.xxh3_64_intdigest(leaf + f"{k} " + " ".join(rest[len(rest) * k // cuts : len(rest) * (k + 1) // cuts]))) for k in range(cuts)]
-    return keys, b"".join(map(_BYTES.__getitem__, tokens))
-
+    return keys, b"".join([xxhash.xxh3_64_digest(t) for t in tokens])
 
-class _TokenBytes(dict):
-    def __missing__(self, token: str) -> bytes:
-        import zlib
 
-        b = self[token] = zlib.crc32(token.encode()).to_bytes(4, "little")
-        return b
+def open_positions(n: int, segment: int):
+    """Positions that the key of a segment leaves open in lines of ``n`` tokens."""
+    import numpy as np
 
+    cuts, rest = variable_fields(n) + 1, n - LEAD
+    at = np.arange(LEAD, n, dtype="int32")
+    return np.concatenate([at[: rest * segment // cuts], at[rest * (segment + 1) // cuts :]])
 
-_BYTES = _TokenBytes()
 
+def refine(key: int, tokens, left) -> tuple[bool, list[int], list]:
+    """Whether what follows are masks, and the keys below ``key`` of a line: its token hashes, and the positions that the key leaves open.
 
-def same_template(a: bytes, b: bytes) -> bool:
-    """Whether two lines in the form of :func:`file_line` have as many tokens, and differ in few enough."""
-    n = len(a) // 4
-    return len(a) == len(b) and sum(a[4 * i : 4 * i + 4] != b[4 * i : 4 * i + 4] for i in range(n)) <= variable_fields(n)
+    Lines that agree on the key's positions and differ in few others share one of these keys; sharing a mask, they have the same template.
+    """
+    import numpy as np
+    import xxhash
 
+    k = variable_fields(len(tokens))
+    final = len(left) <= max(OPEN, 2 * k)
+    parts = [left[i : i + 1] for i in range(len(left))] if final else np.array_split(left, 2 * k)
+    keys, still = [], []
+    for skipped in combinations(range(len(parts)), min(k, len(parts))):
+        held = [p for i, p in enumerate(parts) if i not in skipped]
+        held = np.concatenate(held) if held else left[:0]
+        keys.append(_signed(xxhash.xxh3_64_intdigest(b"%d %d %s " % (key, final, bytes(skipped)) + tokens[held].tobytes())))
+        still.append(np.concatenate([parts[i] for i in skipped]))
+    return final, keys, still
 
-def block_links(lines: list[int], forms: list[bytes], side: list[bool] | None = None) -> list[tuple[int, int]]:
-    """Links that join the lines of one key as :func:`same_template` of all pairs does: of each two components one link.
 
-    With ``side``, lines of the first side are compared only with those of the second.
-    """
+def few_links(lines: list[int], forms: list[bytes]) -> list[tuple[int, int]]:
+    """Links that join lines of one key as comparing all pairs does: of each two components one link."""
     import numpy as np
 
     links = []
     size = np.array([len(x) for x in forms])
     for length in np.unique(size).tolist():
         at = np.nonzero(size == length)[0]
-        tokens = np.frombuffer(b"".join(forms[i] for i in at), "u4").reshape(len(at), -1)
-        group, least = np.arange(len(at)), variable_fields(length // 4)
-        second = np.array([side[i] for i in at]) if side is not None else None
+        tokens = np.frombuffer(b"".join(forms[i] for i in at), "u8").reshape(len(at), -1)
+        group, most = np.arange(len(at)), variable_fields(length // 8)
         for i in range(len(at)):
-            if second is None:
-                j = i + 1 + np.nonzero(group[i + 1 :] != group[i])[0]
-            else:
-                j = np.nonzero(second & (group != group[i]))[0] if not second[i] else group[:0]
-            j = j[(tokens[j] != tokens[i]).sum(axis=1) <= least]
+            j = i + 1 + np.nonzero(group[i + 1 :] != group[i])[0]
+            j = j[(tokens[j] != tokens[i]).sum(axis=1) <= most]
             for other, k in zip(*np.unique(group[j], return_index=True), strict=True):
                 links.append((lines[at[i]], lines[at[j[k]]]))
                 group[group == other] = group[i]
     return links
 
 
+def _pairs(batch_links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in batch_links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 20):
+        yield _pairs([x for members in batch.column(0).to_pylist() for x in few_links([m["line"] for m in members], [m["form"] for m in members])])
+
+
+def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import numpy as np
+
+    schema = [("key", pa.int64()), ("line", pa.int64()), ("left", pa.binary()), ("mask", pa.bool_())]
+    for batch in slices(batches, 50):
+        out = [[] for _ in schema]
+        for key, line, left, form in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            final, keys, still = refine(key, np.frombuffer(form, "u8"), np.frombuffer(left, "i4"))
+            out[0] += keys
+            out[1] += [line] * len(keys)
+            out[2] += [None if final else x.astype("i4").tobytes() for x in still]
+            out[3] += [final] * len(keys)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(out, schema, strict=True)], names=[n for n, _ in schema])
+
+
+def template_links(forms: DataFrame, cold: int = COLD) -> DataFrame:
+    """Links (a, b) that join all lines of a template. ``forms`` is a stored table (line, keys, form), repeats allowed, of lines by :func:`file_line`."""
+    spark = forms.sparkSession
+    links, stored = spark.createDataFrame([], "a bigint, b bigint"), []
+
+    def keep(table: DataFrame, label: str) -> DataFrame:
+        table, path = materialize(table, label)
+        stored.append(path)
+        return table
+
+    def several(table: DataFrame, label: str) -> DataFrame:
+        """Rows of keys with two lines or more, and n, how many."""
+        sizes = keep(table.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("key", "n"), label)
+        return keep(join_frequent(table, sizes, "key"), label)
+
+    index = forms.select("line", F.posexplode("keys").alias("segment", "key"))
+    shared = several(index, "line-keys").select("key", "line", "segment").distinct()
+    names = keep(shared.select("line").distinct(), "shared-lines")
+    wanted = F.broadcast(names) if names.count() <= BROADCAST_LINES else names
+    known = keep(forms.join(wanted, "line", "left_semi").select("line", "form").dropDuplicates(["line"]), "line-forms")  # a line has the same form everywhere
+
+    @F.pandas_udf("binary")
+    def first_open(form: pd.Series, segment: pd.Series) -> pd.Series:
+        return pd.Series([open_positions(len(f) // 8, s).tobytes() for f, s in zip(form, segment, strict=True)], dtype=object)
+
+    level = keep(shared.join(known, "line").select("key", "line", first_open("form", "segment").alias("left")), "line-level")
+    while True:
+        sized = several(level, "line-level")
+        few = sized.where(F.col("n") <= cold).select("key", "line").join(known, "line")
+        members = few.groupBy("key").agg(F.collect_list(F.struct("line", "form")).alias("members")).select("members")
+        links = links.union(keep(members.mapInArrow(_compare, "a bigint, b bigint"), "line-links"))
+        many = sized.where(F.col("n") > cold)
+        if many.limit(1).count() == 0:
+            break
+        below = keep(many.select("key", "line", "left").join(known, "line").select("key", "line", "left", "form").mapInArrow(_refine, "key bigint, line bigint, left binary, mask boolean"), "line-level")
+        masks = below.where("mask").select("key", "line")
+        hubs = keep(masks.groupBy("key").agg(F.min("line").alias("b"), F.count("*").alias("n")).where("n > 1"), "line-masks")
+        links = links.union(keep(join_frequent(masks, hubs, "key").where("line <> b").select(F.col("line").alias("a"), "b").distinct(), "line-links"))
+        level = below.where("not mask").select("key", "line", "left")
+    result, _ = materialize(links.distinct(), "template-links")
+    for path in stored:
+        remove_table(spark, path)
+    return result
+
+
 def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, line, first): the lines (by hash) of each document whose template other documents have too; first where it stays.
 
     Rows with a null doc_id are left out; rows with the same doc_id are one document.
     """
     spark = docs.sparkSession
-    schema = "doc_id bigint, line bigint, keys array<bigint>, bytes binary"
+    schema = "doc_id bigint, line bigint, keys array<bigint>, form binary"
     types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
+        filed: set[int] = set()
         for batch in slices(batches, 500):
             out = [[] for _ in types]
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 seen = set()
                 for line in text.split("\n"):
-                    tokens = _masked(line)
-                    if len(tokens) < min_tokens:
+                    tokens = masked(line)
+                    name = _name(tokens, min_tokens)
+                    if name is None or name in seen:
                         continue
-                    name = _signed(xxhash.xxh3_64_intdigest(" ".join(tokens)))
-                    if name not in seen:
-                        seen.add(name)
-                        for column, x in zip(out, (doc, name, *file_line(tokens)), strict=True):
-                            column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "line", "keys", "bytes"])
-
-    filed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(file, schema)
-    lines, lines_path = materialize(filed, "lines")
-
-    index = lines.select("line", F.explode("keys").alias("key"))
-    ends = index.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key")
-    shared, shared_path = materialize(index.join(ends, "key").select("key", "line").distinct(), "shared-lines")
-    known = lines.select("line", "bytes").join(shared.select("line").distinct(), "line").distinct()  # a line has the same bytes everywhere
-    known, known_path = materialize(known, "line-bytes")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = shared.join(shared.groupBy("key").agg(F.count("*").alias("size")), "key").join(known, "line")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("line"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    member = F.struct("line", "bytes", (F.col("own") > F.col("other")).alias("second"))
-    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), member.alias("member"))
-    dealt = dealt.groupBy("key", "lo", "hi").agg(F.collect_list("member").alias("members")).select((F.col("lo") < F.col("hi")).alias("two"), "members")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 100):
-            found = []
-            for two, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found += block_links([m["line"] for m in members], [m["bytes"] for m in members], [m["second"] for m in members] if two else None)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    links = dealt.mapInArrow(compare, "a bigint, b bigint")
+                    seen.add(name)
+                    keys, form = None, None
+                    if name not in filed and variable_fields(len(tokens)):
+                        if len(filed) >= SEEN:
+                            filed.clear()
+                        filed.add(name)
+                        keys, form = file_line(tokens)
+                    for column, x in zip(out, (doc, name, keys, form), strict=True):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "line", "keys", "form"])
+
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
+    lines, lines_path = materialize(own.mapInArrow(file, schema), "lines")
+    links = template_links(lines.where("keys is not null").select("line", "keys", "form"))
     labels, labels_path = materialize(connected_components(links, "templates"), "templates")
-    for path in (shared_path, known_path):
-        remove_table(spark, path)
 
-    each = lines.groupBy("line").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    each = each.join(labels, each["line"] == labels["node"], "left").select("line", "lo", "hi", F.coalesce("component", "line").alias("template"))
-    ends = each.groupBy("template").agg(F.min("lo").alias("first_doc"), F.max("hi").alias("last_doc")).where("first_doc < last_doc")
-    recurring = each.select("line", "template").join(ends.select("template", "first_doc"), "template").select("line", "first_doc")
-    found, _ = materialize(lines.select("doc_id", "line").join(recurring, "line").select("doc_id", "line", (F.col("doc_id") == F.col("first_doc")).alias("first")), "recurring-lines")
-    for path in (lines_path, labels_path):
+    each, each_path = materialize(lines.groupBy("line").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")), "line-documents")
+    each = each.join(labels, each["line"] == labels["node"], "left").select("line", "n", "lo", "hi", F.coalesce("component", "line").alias("template"))
+    ends = each.groupBy("template").agg(F.min("lo").alias("first_doc"), F.max("hi").alias("last_doc"), F.count("*").alias("lines")).where("first_doc < last_doc")
+    ends, ends_path = materialize(ends.select("template", "first_doc", F.col("lines").alias("n")), "recurring-templates")
+    recurring = join_frequent(each.withColumnRenamed("n", "rows"), ends, "template").select("line", "first_doc", F.col("rows").alias("n"))
+    recurring, recurring_path = materialize(recurring, "recurring-names")
+    found = join_frequent(lines.select("doc_id", "line"), recurring, "line").select("doc_id", "line", (F.col("doc_id") == F.col("first_doc")).alias("first"))
+    found, _ = materialize(found.distinct(), "recurring-lines")
+    for path in (lines_path, labels_path, each_path, ends_path, recurring_path):
         remove_table(spark, path)
     return found
 
 
-def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, keep_first: bool = True) -> DataFrame:
     """``docs`` (doc_id bigint, text and others) with recurring lines dropped from text, and n_lines, n_recurring, n_dropped.
 
+    A line that several documents have, or lines of one template, stays in the first of them (smallest doc_id), or, without ``keep_first``, in none. Lines
+    of fewer than ``min_tokens`` tokens and MIN_CHARS characters are left alone.
     n_lines counts the lines of the whole text, n_recurring the distinct lines whose template other documents have,
     n_dropped the lines taken out. A document's own repeats are no recurrence. Null texts stay null and have no lines, an
     empty text has one; rows with a null doc_id stay as they are. A text that loses all its lines is empty. Repeated rows of a
@@ -185,7 +256,8 @@ def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
 
     new = ("n_lines", "n_recurring", "n_dropped")
     found = recurring_lines(docs, min_tokens)
-    drops = found.groupBy("doc_id").agg(F.count("*").alias("__recurring"), F.collect_list(F.when(~F.col("first"), F.col("line"))).alias("__drop"))
+    gone = F.when(~F.col("first"), F.col("line")) if keep_first else F.col("line")
+    drops = found.groupBy("doc_id").agg(F.count("*").alias("__recurring"), F.collect_list(gone).alias("__drop"))
     kept = [c for c in docs.columns if c not in new]
     own = docs.select(*[F.col(f"`{c}`") for c in kept])
     joined = own.withColumn("__id", F.col("doc_id").cast("bigint")).join(drops.withColumnRenamed("doc_id", "__id"), "__id", "left").drop("__id")

@@ -15,6 +15,7 @@ only counts come to the driver.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -25,10 +26,12 @@ from pyspark.sql import functions as F
 from .common import materialize, remove_table, slices, texts_of
 from .tokenizing import byte_encoder, tokenizer_path
 
-#: Pieces and gaps that a range of a sweep has, about.
+#: Pieces and gaps that a range of a sweep has at least, about; it has the root of their number where that is more, and there are no more ranges.
 RANGE_ROWS = 20_000
 #: A class is swept again if at least one in so many of its pieces found a gap; else it opens sequences first.
-AGAIN = 10
+AGAIN = 3
+#: Fractions of a sequence at which classes of lengths begin.
+CLASSES = (2, 4)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids: bool = False) -> DataFrame:
@@ -109,22 +112,30 @@ def sweep(left: DataFrame, gaps: DataFrame, longest: int, least: int, n_left: in
     events = offered.select(room.cast("bigint").alias("size"), F.lit(False).alias("piece"), F.col("seq").alias("id"), "slot")
     events = events.unionByName(left.select(F.col("length").alias("size"), F.lit(True).alias("piece"), F.col("key").alias("id"), F.lit(0).alias("slot")))
     order = [F.desc("size"), F.asc("piece"), F.asc("id"), F.asc("slot")]
-    ranges = max(1, -(-(3 * n_left + n_gaps) // RANGE_ROWS))
+    rows = 3 * n_left + n_gaps
+    ranges = max(1, -(-rows // max(RANGE_ROWS, math.isqrt(rows))))
     ranged = events.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     swept, swept_path = materialize(ranged.mapInArrow(_sweep_ranges, "part int, piece boolean, id bigint, slot int, size bigint, seq bigint, rank bigint"), "swept")
 
+    if ranges == 1:
+        return swept.where("piece").select(F.col("id").alias("key"), F.col("size").alias("length"), "seq", "slot"), swept_path
+    fitted = lambda table: table.select(F.col("id").alias("key"), F.col("size").alias("length"), "seq", F.coalesce("slot", F.lit(0)).alias("slot"))
     over = swept.where("rank > 0")
-    parts = over.groupBy("part").agg(F.count_if("piece").alias("pieces"), F.count_if(~F.col("piece")).alias("gaps"))  # a row a range
-    begin = parts.withColumn("height", F.coalesce(F.sum(F.col("gaps") - F.col("pieces")).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    parts = [tuple(r) for r in over.groupBy("part").agg(F.count_if("piece"), F.count_if(~F.col("piece"))).collect()]  # a row a range
+    if len(parts) < 2 or not all(sum(p[k] for p in parts) for k in (1, 2)):
+        return fitted(swept.where("piece")), swept_path
+    begin, height = [], 0
+    for part, n_pieces, n_open in sorted(parts):
+        begin.append((part, n_pieces, height))
+        height += n_open - n_pieces
+    begin = F.broadcast(left.sparkSession.createDataFrame(begin, "part int, pieces bigint, height bigint"))
     height = F.when(F.col("piece"), F.col("height") - F.col("rank") + 1).otherwise(F.col("height") - F.col("pieces") + F.col("rank"))
-    level = over.join(begin.select("part", "pieces", "height"), "part").withColumn("level", height)
     # at one height a range has at most a piece and then a gap
     before = F.lag(F.struct("piece", "id", "slot")).over(Window.partitionBy("level").orderBy("part", F.desc("piece")))
-    late = level.withColumn("before", before).where("piece")
-    taken = F.col("before").isNotNull() & ~F.col("before.piece")
-    late = late.select(F.col("id").alias("key"), F.col("size").alias("length"), F.when(taken, F.col("before.id")).alias("seq"), F.when(taken, F.col("before.slot")).otherwise(0).alias("slot"))
-    early = swept.where("rank = 0").select(F.col("id").alias("key"), F.col("size").alias("length"), "seq", "slot")
-    result = materialize(early.unionByName(late), "fitted")
+    late = over.join(begin, "part").withColumn("level", height).withColumn("before", before).where("piece")
+    taken = F.col("before.id").isNotNull() & ~F.col("before.piece")
+    late = late.withColumn("seq", F.when(taken, F.col("before.id"))).withColumn("slot", F.when(taken, F.col("before.slot")))
+    result = materialize(fitted(swept.where("rank = 0")).unionByName(fitted(late)), "fitted")
     remove_table(left.sparkSession, swept_path)
     return result
 
@@ -150,29 +161,33 @@ def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
     alone = own.where((F.col("length") * 2 > size) & (F.col("length") < size))
     assign(found(alone))
     gaps = alone.select(F.col("key").alias("seq"), (size - F.col("length")).alias("gap"))
-    cuts = [*dict.fromkeys(size // k for k in (2, 3, 4, 8, 16)), 0]
+    cuts = [*dict.fromkeys(size // k for k in CLASSES), 0]
     for longest, above in zip(cuts, cuts[1:], strict=False):
         left = own.where((F.col("length") <= longest) & (F.col("length") > above))
         swept = 0  # pieces that the last sweep had, 0 if it is to be swept in any case
         while True:
-            n, total, least = left.agg(F.count("*"), F.sum("length"), F.min("length")).first()
-            if not n:
+            sizes = gaps.select("gap").where(F.col("gap") > above).unionByName(left.select((-F.col("length")).alias("gap")))
+            counts = {r["gap"]: r["count"] for r in sizes.groupBy("gap").count().collect()}  # a row for each length and each gap up to a sequence's
+            lengths = {-x: k for x, k in counts.items() if x < 0}
+            if not lengths:
                 break
-            n_gaps = gaps.where(F.col("gap") >= least).count() if not swept or (swept - n) * AGAIN >= swept else 0
+            n, least = sum(lengths.values()), min(lengths)
+            n_gaps = sum(k for x, k in counts.items() if x >= least) if not swept or (swept - n) * AGAIN >= swept else 0
             if n_gaps:
                 fitted, path = sweep(left, gaps, longest, least, n, n_gaps)
                 stored.append(path)
                 swept, taken = n, fitted.where("seq is not null")
                 assign(taken)
-                used = taken.groupBy("seq").agg(F.sum("length").alias("used"))
-                gaps = keep(gaps.join(used, "seq", "left").select("seq", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")).where("gap > 0"), "gaps")
+                moved = gaps.unionByName(taken.select("seq", (-F.col("length")).alias("gap"))).groupBy("seq").agg(F.sum("gap").alias("gap")).where("gap > 0")
+                gaps = keep(moved, "gaps")
                 left = fitted.where("seq is null").select("key", "length")
                 continue
             # the fewest sequences that can hold them are opened with the longest
-            first = longest_pieces(left, max(-(-total // size), -(-n // max(1, size // (above + 1)))))
-            opened, left = (keep(left.where(c), label) for c, label in ((first, "opened"), (~first, "left")))
+            total = sum(x * k for x, k in lengths.items())
+            first = longest_pieces(left, lengths, max(-(-total // size), -(-n // max(1, size // (above + 1)))))
+            opened, left = left.where(first), left.where(~first)
             assign(found(opened))
-            gaps = keep(gaps.unionByName(opened.select(F.col("key").alias("seq"), (size - F.col("length")).alias("gap")).where("gap > 0")), "gaps")
+            gaps = gaps.unionByName(opened.select(F.col("key").alias("seq"), (size - F.col("length")).alias("gap")).where("gap > 0"))
             swept = 0
     assigned = steps[0]
     for step in steps[1:]:
@@ -187,12 +202,11 @@ def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
     return result
 
 
-def longest_pieces(left: DataFrame, n: int) -> Column:
+def longest_pieces(left: DataFrame, counts: dict[int, int], n: int) -> Column:
     """Condition that holds for the ``n`` longest pieces of ``left`` (key, length); among equals for those whose keys have the least hashes.
 
-    The shortest length comes from the counts of all lengths, the largest hash digit by digit from counts by digit.
+    The shortest length comes from ``counts``, how many pieces each length has, the largest hash digit by digit from counts by digit.
     """
-    counts = {r["length"]: r["count"] for r in left.groupBy("length").count().collect()}  # a row for each length up to a sequence's
     for length in sorted(counts, reverse=True):
         if n < counts[length]:
             break
