@@ -42,7 +42,8 @@ def pick_date(*candidates: tuple[str, ColumnOrName]) -> Column:
 
 def days_open(today: ColumnOrName, posted: ColumnOrName) -> Column:
     """Days from ``posted`` (its first ten characters) to ``today``, at least 0; null where unreadable."""
-    return F.greatest(F.lit(0), F.date_diff(col(today).cast("date"), F.substring(col(posted).cast("string"), 1, 10).try_cast("date")))
+    days = F.date_diff(col(today).cast("date"), F.substring(col(posted).cast("string"), 1, 10).try_cast("date"))
+    return F.when(days < 0, 0).otherwise(days)
 
 
 def days_between(earlier: ColumnOrName, later: ColumnOrName) -> Column:

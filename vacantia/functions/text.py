@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,12 +40,32 @@ def squash(c: ColumnOrName) -> Column:
     return F.trim(F.regexp_replace(col(c), r"(?U)[\s\u001c-\u001f]+", " "))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def look(table: dict[str, str], key: Column) -> Column:
+    """Value of ``key`` in a table of texts, which the plan holds as one constant."""
+    return F.try_element_at(F.str_to_map(F.lit("\x02".join(f"{a}\x01{b}" for a, b in table.items())), F.lit("\x02"), F.lit("\x01")), key)
+
+
+@lru_cache(1)
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Lower-case letters whose caseless form is another: those that fold to one letter, and to several. By Unicode's rule, not listed."""
+    one, several = {}, {}
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]):
+        low, form = c.lower(), c.casefold()
+        if low != form and len(low) == 1:
+            (one if len(form) == 1 else several)[low] = form
+    return one, several
+
+
 def fold(c: ColumnOrName) -> Column:
-    """Caseless form: lower case, with the letters that fold to more than one."""
-    folded = F.lower(col(c))
-    for a, b in (("ß", "ss"), ("ſ", "s"), ("ς", "σ"), ("ﬁ", "fi"), ("ﬂ", "fl")):
-        folded = F.replace(folded, F.lit(a), F.lit(b))
-    return folded
+    """Caseless form: lower case, with the letters that fold to others or to more than one."""
+    one, several = _folds()
+    spell = lambda t: F.when(t.rlike("[" + "".join(several) + "]"), F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(look(several, c), c)), "")).otherwise(t)
+    return let(F.translate(F.lower(col(c)), "".join(one), "".join(one.values())), spell)
 
 
 def canon(c: ColumnOrName) -> Column:
@@ -95,16 +118,19 @@ def canon_company(name: ColumnOrName) -> Column:
 
 # Words that end a company's name without naming it.
 NAME_SUFFIXES = (
-    "inc llc ltd limited gmbh mbh ug bv nv ab oy oyj as sa sas sarl srl spa pty plc corp corporation company co kg ag aps kft".split()
+    "incorporated corporation limited holdings group inc llc ltd llp plc gmbh mbh ag kg bv nv sa srl spa oy ab as aps co corp company technologies labs".split()
 )
 
 
 def name_norm(name: ColumnOrName) -> Column:
-    """Key of a company name: folded words, trailing suffix words taken off while another word is left."""
-    text = squash(F.regexp_replace(fold(blank(name)), r"(?U)[^\w\s]|_", " "))
-    for _ in range(6):
-        text = F.regexp_replace(text, r"^(.+?) (?:" + "|".join(NAME_SUFFIXES) + ")$", "$1")
-    return text
+    """Key of a company name: folded words without punctuation, all trailing suffix words taken off while another word is left; null without words."""
+    words = F.filter(F.split(F.regexp_replace(fold(blank(name)), r"(?U)[^\w\s]+", " "), r"(?U)\s+"), lambda w: w != "")
+
+    def named(found: Column) -> Column:
+        names = F.filter(F.sequence(F.lit(1), F.size(found)), lambda k: ~F.element_at(found, k).isin(NAME_SUFFIXES))
+        return F.array_join(F.slice(found, F.lit(1), F.coalesce(F.array_max(names), F.lit(1))), " ")
+
+    return let(words, lambda found: F.when(F.size(found) > 0, named(found)))
 
 
 def make_id(provider: ColumnOrName, company: ColumnOrName, source_id: ColumnOrName) -> Column:

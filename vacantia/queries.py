@@ -250,7 +250,7 @@ def q20_days_open(spark, sf):
 
 
 SQL["q20_days_open"] = """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN date_diff('day', o_orderdate::DATE, DATE '1998-01-01') END AS n FROM orders)
-SELECT o_orderkey, CASE WHEN n IS NULL THEN 0 ELSE greatest(0, n) END::INTEGER AS days_open, CASE WHEN n >= 0 THEN n END::INTEGER AS days_between FROM o"""
+SELECT o_orderkey, CASE WHEN n < 0 THEN 0 ELSE n END::INTEGER AS days_open, CASE WHEN n >= 0 THEN n END::INTEGER AS days_between FROM o"""
 
 
 def _seen(spark, sf) -> DataFrame:
