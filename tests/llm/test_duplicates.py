@@ -7,7 +7,7 @@ import pytest
 from vacantia.llm.common import connected_components, join_frequent
 from vacantia.llm import line_templates
 from vacantia.llm.line_templates import dedup_lines, file_line, line_id, masked, template_links, variable_fields
-from vacantia.llm.near_duplicates import block_pairs, drop_near_duplicates, near_duplicate_groups, shingle_prefix, similarity, wide_fingerprint, within_budget
+from vacantia.llm.near_duplicates import block_pairs, drop_near_duplicates, near_duplicate_groups, shingle_prefix, similarity
 from vacantia.llm.simhash import fingerprint, link_fingerprints, simhash_components
 
 
@@ -101,15 +101,6 @@ def test_near_duplicates(spark):
     assert drop_near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_chain_budget_keeps_what_is_near():
-    draw = random.Random(6)
-    base = words(draw, 200)
-    a, keys = wide_fingerprint(" ".join(base))
-    b, other = wide_fingerprint(" ".join([*base[:-3], "p", "q", "r"]))
-    assert within_budget(a, b) and set(keys) & set(other)
-    assert not within_budget(a, wide_fingerprint(" ".join(words(draw, 200)))[0])
-
-
 def test_line_templates(spark):
     draw = random.Random(7)
     shared = [" ".join(words(draw, 60)) for _ in range(5)]

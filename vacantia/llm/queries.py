@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table_path
+from .common import materialize, table_path
 from .fingerprints import edited_fingerprints
 from .line_templates import dedup_lines
 from .media import media_copies, mosaics
@@ -30,8 +30,9 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies among the images of all embeddings, each drawn as a mosaic, as the tables have no images of their own."""
-    return media_copies(mosaics(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")).withColumnRenamed("media_id", "vec_id")
+    """Copies among the images of all embeddings, each drawn as a mosaic, as the tables have no images of their own; of 20 ids four have an edited copy too."""
+    images, _ = materialize(mosaics(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", edits=20), "mosaics")
+    return media_copies(images).withColumnRenamed("media_id", "vec_id")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A fingerprint is cut into m = distance + 2 segments that stand in a ring. Two fingerprints within the distance
 agree on two segments at least, so each pair of segments is an index key. A candidate then has
-to show a chain: a first segment from which, for every length l up to the whole ring, the differences
+to show a chain: a first segment from which, for every length l short of the whole ring, the differences
 of l consecutive segments sum to at most l * distance / m (some chain must, as the average over the ring does). Only what
 is left gets the full Hamming check.
 
@@ -66,14 +66,14 @@ def _segments(distance: int) -> list[int]:
 
 
 def _chain(x: Column, distance: int) -> Column:
-    """Whether the differing bits ``x`` have a chain of every length within its proportional budget."""
+    """Whether the differing bits ``x`` have a chain whose every length short of the ring is within its proportional budget."""
     masks = _segments(distance)
     m = len(masks)
     diff = [F.bit_count(x.bitwiseAND(F.lit(k))) for k in masks]
     found = F.lit(False)
     for first in range(m):
         total, ok = F.lit(0), F.lit(True)
-        for length in range(1, m + 1):
+        for length in range(1, m):
             total = total + diff[(first + length - 1) % m]
             ok = ok & (total * m <= length * distance)
         found = found | ok
