@@ -214,9 +214,12 @@ def test_streaming(spark, tmp_path):
     day = lambda jobs, d: spark.createDataFrame(jobs, OBS).withColumn("d", F.lit(d))
     fold(day([job("1"), job("2")], "2026-01-01"), 0)
     fold(day([job("1")], "2026-01-02"), 1)
-    fold(day([job("1")], "2026-01-02"), 1)
+    fold(day([job("1")], "2026-01-02"), 1)  # again
+    fold(day([job("9", c="other"), job("9", c="other")], "2026-01-03"), 2)  # another board alone, a row twice
+    fold(day([job("1"), job("2"), job("3")], "2026-01-01"), 3)  # late
     got = spark.read.parquet(f"file://{tmp_path}/h/events").groupBy("ev").count().collect()
-    assert {r["ev"]: r["count"] for r in got} == {"added": 2, "removed": 1}
+    assert {r["ev"]: r["count"] for r in got} == {"added": 3, "removed": 1}
+    assert sorted(r["job_id"] for r in spark.read.parquet(f"file://{tmp_path}/h/state/3").collect()) == ["1", "9"]
     src = f"{tmp_path}/in"
     spark.createDataFrame([(datetime(2026, 1, 1, h), "a") for h in range(5)], "ts timestamp, event_type string").write.parquet(src)
     stream = windowed_counts(spark.readStream.schema("ts timestamp, event_type string").parquet(src))

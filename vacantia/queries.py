@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions import dates, html, location, redact, salary, text, urls, work
 from .operators import history, lifecycle, rows
+from .plans import run
+from .sources import stores
 
 SQL: dict[str, str] = {}
 
@@ -548,6 +550,94 @@ n AS (SELECT *, CASE action WHEN 'keep_failed' THEN fails + 1 WHEN 'skip_degrade
 SELECT provider, company, fetch_status, jobs, action, CASE action WHEN 'mark_suspect' THEN 'empty_suspect' WHEN 'diff' THEN 'ok' ELSE was END AS status, consecutive_failures, consecutive_failures >= 7 AS stale FROM n"""
 
 
+def _directory(spark, sf) -> DataFrame:
+    s = _t(spark, sf, "supplier").withColumn("n", F.col("s_suppkey").cast("bigint"))
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    return s.select(
+        F.element_at(F.array(*map(F.lit, ("greenhouse", "lever", "ashby"))), (F.col("n") % 3 + 1).cast("int")).alias("provider"), text("Board", F.col("n")).alias("slug"), F.lit(None).cast("string").alias("site"), F.lit(None).cast("string").alias("region"),
+        text("Firm ", F.floor(F.col("n") / 2)).alias("name"), text("firm ", F.floor(F.col("n") / 2)).alias("name_norm"), text("b", F.col("n"), ".example.org").alias("domain"), F.when(F.col("n") % 11 == 0, "dead").otherwise("ok").alias("status"),
+        (F.col("n") % 4).alias("job_count"), F.col("n").alias("ord"),
+    )
+
+
+_DIRECTORY = """d AS (SELECT CASE s_suppkey % 3 WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' ELSE 'ashby' END AS provider, 'Board' || s_suppkey AS slug, 'firm ' || (s_suppkey // 2) AS name_norm,
+  'b' || s_suppkey || '.example.org' AS domain, CASE WHEN s_suppkey % 11 = 0 THEN 'dead' ELSE 'ok' END AS status, s_suppkey % 4 AS job_count, s_suppkey AS ord FROM supplier)"""
+
+
+def q50_resolve_entries(spark, sf):
+    """Prefixes, board URLs, slugs, names and domains against a directory."""
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").cast("bigint").alias("c"))
+    n = (F.col("c") % 300).cast("string")
+    entry = F.concat(F.element_at(F.array(*map(F.lit, ("lever:acme", "https://jobs.lever.co/x", "BOARD", " Firm ", "https://www.b", "jobs.lever.co/acme%20"))), (F.col("c") % 6 + 1).cast("int")), n, F.when(F.col("c") % 6 == 4, ".example.org/jobs").otherwise(""))
+    entries = c.select(entry.alias("entry"), F.col("c").alias("ord")).groupBy("entry").agg(F.min("ord").alias("ord"))
+    return run.resolve(entries, _directory(spark, sf)).select("entry", "status", F.col("ref.provider").alias("provider"), F.col("ref.slug").alias("slug"), F.size(F.coalesce("candidates", F.array().cast("array<string>"))).alias("n_candidates"))
+
+
+SQL["q50_resolve_entries"] = "WITH " + _DIRECTORY + """, e AS (SELECT DISTINCT c_custkey % 6 AS k, c_custkey % 300 AS n FROM customer),
+h AS (SELECT e.k, e.n, count(*) AS hits, min(d.provider) AS provider, min(d.slug) AS slug FROM e JOIN d ON d.status = 'ok' AND CASE e.k WHEN 2 THEN lower(d.slug) = 'board' || e.n WHEN 3 THEN d.name_norm = 'firm ' || e.n WHEN 4 THEN d.domain = 'b' || e.n || '.example.org' ELSE false END GROUP BY ALL)
+SELECT CASE e.k WHEN 0 THEN 'lever:acme' WHEN 1 THEN 'https://jobs.lever.co/x' WHEN 2 THEN 'BOARD' WHEN 3 THEN ' Firm ' WHEN 4 THEN 'https://www.b' ELSE 'jobs.lever.co/acme%20' END || e.n || CASE WHEN e.k = 4 THEN '.example.org/jobs' ELSE '' END AS entry,
+CASE WHEN e.k < 2 OR hits = 1 THEN 'ok' WHEN hits > 1 THEN 'unconfirmed' WHEN e.k = 4 THEN 'unresolved_domain' ELSE 'not_found' END AS status,
+CASE WHEN e.k < 2 THEN 'lever' WHEN hits = 1 THEN provider END AS provider, CASE e.k WHEN 0 THEN 'acme' || e.n WHEN 1 THEN 'x' || e.n ELSE CASE WHEN hits = 1 THEN slug END END AS slug,
+CASE WHEN hits > 1 THEN hits ELSE 0 END::INTEGER AS n_candidates FROM e LEFT JOIN h USING (k, n)"""
+
+
+def q51_directory_stats(spark, sf):
+    """Boards and probe results of each provider."""
+    d = _directory(spark, sf)
+    probes = d.where(F.col("ord") % 5 > 0).withColumn("status", F.when(F.col("ord") % 5 == 1, "unconfirmed").otherwise(F.col("status"))).withColumn("job_count", F.when((F.col("provider") == "ashby") | (F.col("job_count") == 0), None).otherwise(F.col("job_count")))
+    return run.directory_stats(d, probes)
+
+
+SQL["q51_directory_stats"] = "WITH " + _DIRECTORY + """, p AS (SELECT provider, CASE WHEN ord % 5 = 1 THEN 'unconfirmed' ELSE status END AS status, CASE WHEN provider = 'ashby' THEN 0 ELSE job_count END AS jobs FROM d WHERE ord % 5 > 0),
+f AS (SELECT provider, count(*) AS found FROM d GROUP BY 1), c AS (SELECT provider, count(*) AS probed, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'dead') AS dead, count(*) FILTER (status = 'unconfirmed') AS unconfirmed,
+count(*) FILTER (status = 'ok' AND jobs = 0) AS zero_jobs FROM p GROUP BY 1) SELECT *, ok >= 10 AND zero_jobs > 0.9 * ok AS degraded FROM f JOIN c USING (provider)"""
+
+
+def q52_seed_rows(spark, sf):
+    """Watchlist rows of a directory."""
+    return run.seed_rows(_directory(spark, sf), "2026-01-01", ["greenhouse", "ashby"])
+
+
+SQL["q52_seed_rows"] = "WITH " + _DIRECTORY + """ SELECT provider, slug AS company, NULL::VARCHAR AS site, '2026-01-01' AS added, 'seed' AS source FROM d
+WHERE status = 'ok' AND provider IN ('greenhouse', 'ashby') AND job_count > 0 ORDER BY ord LIMIT 5000"""
+
+
+def q53_run_line(spark, sf):
+    """Totals of all days and boards in one row."""
+    counts, events = _events_counts(spark, sf)
+    return run.run_line(events, counts)
+
+
+SQL["q53_run_line"] = "WITH " + _BOARD + """ SELECT (SELECT count(*) FROM e WHERE ev = 'added') AS added, (SELECT count(*) FROM e WHERE ev = 'removed') AS removed, (SELECT count(*) FROM e WHERE ev = 'changed') AS changed,
+(SELECT count(*) FROM c) AS boards, (SELECT coalesce(sum(open), 0) FROM c)::BIGINT AS open"""
+
+
+def q54_company_summaries(spark, sf):
+    """Free summary rows: boards are users, found postings their events, kept ones purchases and errors, delivered ones purchases."""
+    e = _t(spark, sf, "events").select(F.lit("lever").alias("provider"), F.col("user_id").cast("string").alias("companySlug"), "event_type", F.col("event_type").alias("department"))
+    boards = e.select("provider", F.col("companySlug").alias("slug")).distinct().withColumn("input", F.col("slug"))
+    seen = boards.select("provider", F.col("slug").alias("companySlug"), F.lit("2025-12-01").alias("firstSeen"), F.lit(1).alias("jobs"))
+    kept = e.where("event_type in ('purchase', 'error')")
+    rows = run.summary_rows(boards, e.where("event_type <> 'view'"), kept, kept.where("event_type = 'purchase'"), "2026-01-01T00:00:00Z", seen, "max_jobs_reached")
+    return rows.select("companySlug", "status", "jobsFound", "jobsKept", "newJobs", "duplicatesDropped", "trackedSince", F.get(F.col("topDepartments"), 0)["department"].alias("top"), F.coalesce(F.get(F.col("warnings"), 0), F.lit("")).alias("warning"))
+
+
+SQL["q54_company_summaries"] = """WITH b AS (SELECT user_id::VARCHAR AS "companySlug", count(*) FILTER (event_type <> 'view') AS f, count(*) FILTER (event_type = 'purchase') AS p, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1)
+SELECT "companySlug", CASE WHEN x > 0 THEN 'max_jobs_reached' ELSE 'ok' END AS status, f AS "jobsFound", p + x AS "jobsKept", p AS "newJobs", f - p - x AS "duplicatesDropped", '2025-12-01' AS "trackedSince",
+CASE WHEN p + x = 0 THEN NULL WHEN p > x THEN 'purchase' ELSE 'error' END AS top, CASE WHEN f = 0 THEN 'empty_suspect' ELSE '' END AS warning FROM b"""
+
+
+def q55_decode_history(spark, sf):
+    """JSON lines from stored values, some quoted as one string, some cut off."""
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"))
+    line = F.concat(F.lit('{"id":'), F.col("k").cast("string"), F.lit(',"t":"a b"}\n'), F.when(F.col("k") % 3 == 0, '{"id":1').otherwise('{"id":-1,"t":null}'))
+    value = F.when(F.col("k") % 4 == 1, F.concat(F.lit('"'), F.replace(F.replace(line, F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")), F.lit('"'))).otherwise(line)
+    return stores.decode_values(o.select(F.col("k").alias("key"), value.alias("value")), "id bigint, t string").select("key", "id", "t")
+
+
+SQL["q55_decode_history"] = """SELECT o_orderkey::BIGINT AS key, o_orderkey::BIGINT AS id, 'a b' AS t FROM orders UNION ALL SELECT o_orderkey::BIGINT, -1::BIGINT, NULL FROM orders WHERE o_orderkey % 3 <> 0"""
+
+
 def queries() -> dict:
     return {n: f for n, f in sorted(globals().items()) if n[0] == "q" and n[1:3].isdigit()}
 
