@@ -34,11 +34,18 @@ def table_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/vacantia/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as a Parquet table in the shared folder and read it again. Returns the table and its path."""
+#: Rows, of a few numbers each, that one task writes where their number is known before.
+ROWS_A_TASK = 50_000
+
+
+def materialize(df: DataFrame, label: str, rows: int | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` as a Parquet table in the shared folder and read it again. Returns the table and its path.
+
+    With ``rows``, about how many short rows there will be at most, so many tasks write as these need, instead of one a shuffle partition.
+    """
     spark = df.sparkSession
     path = table_path(spark, label)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(rows // ROWS_A_TASK + 1)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -102,22 +109,22 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
     spark = edges.sparkSession
     pair = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     table, path = materialize(pair, f"{label}-edges")
-    seen = None
-    while True:
+    seen, rows = None, table.count()
+    while rows:
         both = table.union(table.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large, large_path = materialize(large, f"{label}-large")
+        large, large_path = materialize(large, f"{label}-large", 2 * rows)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         small = small.select("e.a", "e.b").where("a <> b").distinct()
-        fresh, fresh_path = materialize(small, f"{label}-small")
+        fresh, fresh_path = materialize(small, f"{label}-small", 2 * rows)
         now = fresh.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         remove_table(spark, path)
         remove_table(spark, large_path)
         table, path = fresh, fresh_path
         if now == seen or now[0] == 0:
             break
-        seen = now
+        seen, rows = now, now[0]
     low = table.groupBy("a").agg(F.min("b").alias("b"))
     return low.select(F.col("a").alias("node"), F.col("b").alias("component")).union(table.select(F.col("b"), F.col("b")).distinct())

@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import combinations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,8 +138,10 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = [("key", pa.int64()), ("line", pa.int64()), ("left", pa.binary()), ("mask", pa.bool_())]
     for batch in slices(batches, 50):
         out = [[] for _ in schema]
-        for key, line, left, form in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            final, keys, still = refine(key, np.frombuffer(form, "u8"), np.frombuffer(left, "i4"))
+        for key, line, segment, left, form in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            tokens = np.frombuffer(form, "u8")
+            still_open = open_positions(len(tokens), segment) if left is None else np.frombuffer(left, "i4")
+            final, keys, still = refine(key, tokens, still_open)
             out[0] += keys
             out[1] += [line] * len(keys)
             out[2] += [None if final else x.astype("i4").tobytes() for x in still]
@@ -158,35 +159,29 @@ def template_links(forms: DataFrame, cold: int = COLD) -> DataFrame:
         stored.append(path)
         return table
 
-    def several(table: DataFrame, label: str) -> DataFrame:
-        """Rows of keys with two lines or more, and n, how many."""
-        sizes = keep(table.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("key", "n"), label)
-        return keep(join_frequent(table, sizes, "key"), label)
+    def several(table: DataFrame) -> DataFrame:
+        """Rows of keys with two lines or more, and lines, about how many."""
+        sizes = table.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.count("*").alias("n"), F.approx_count_distinct("line").alias("lines"))
+        sizes = keep(sizes.where("lo <> hi").select("key", "n", "lines"), "line-keys")
+        return keep(join_frequent(table, sizes, "key").drop("n").distinct(), "line-level")
 
-    index = forms.select("line", F.posexplode("keys").alias("segment", "key"))
-    shared = several(index, "line-keys").select("key", "line", "segment").distinct()
-    names = keep(shared.select("line").distinct(), "shared-lines")
-    wanted = F.broadcast(names) if names.count() <= BROADCAST_LINES else names
+    nothing = F.lit(None).cast("binary")
+    level = several(forms.select("line", F.posexplode("keys").alias("segment", "key")).select("key", "line", "segment", nothing.alias("left")))
+    wanted = F.broadcast(level.select("line")) if level.count() <= BROADCAST_LINES else level.select("line")
     known = keep(forms.join(wanted, "line", "left_semi").select("line", "form").dropDuplicates(["line"]), "line-forms")  # a line has the same form everywhere
-
-    @F.pandas_udf("binary")
-    def first_open(form: pd.Series, segment: pd.Series) -> pd.Series:
-        return pd.Series([open_positions(len(f) // 8, s).tobytes() for f, s in zip(form, segment, strict=True)], dtype=object)
-
-    level = keep(shared.join(known, "line").select("key", "line", first_open("form", "segment").alias("left")), "line-level")
     while True:
-        sized = several(level, "line-level")
-        few = sized.where(F.col("n") <= cold).select("key", "line").join(known, "line")
+        few = level.where(F.col("lines") <= cold).select("key", "line").join(known, "line")
         members = few.groupBy("key").agg(F.collect_list(F.struct("line", "form")).alias("members")).select("members")
         links = links.union(keep(members.mapInArrow(_compare, "a bigint, b bigint"), "line-links"))
-        many = sized.where(F.col("n") > cold)
+        many = level.where(F.col("lines") > cold)
         if many.limit(1).count() == 0:
             break
-        below = keep(many.select("key", "line", "left").join(known, "line").select("key", "line", "left", "form").mapInArrow(_refine, "key bigint, line bigint, left binary, mask boolean"), "line-level")
+        below = many.select("key", "line", "segment", "left").join(known, "line").select("key", "line", "segment", "left", "form")
+        below = keep(below.mapInArrow(_refine, "key bigint, line bigint, left binary, mask boolean"), "line-refined")
         masks = below.where("mask").select("key", "line")
         hubs = keep(masks.groupBy("key").agg(F.min("line").alias("b"), F.count("*").alias("n")).where("n > 1"), "line-masks")
         links = links.union(keep(join_frequent(masks, hubs, "key").where("line <> b").select(F.col("line").alias("a"), "b").distinct(), "line-links"))
-        level = below.where("not mask").select("key", "line", "left")
+        level = several(below.where("not mask").select("key", "line", F.lit(0).alias("segment"), "left"))
     result, _ = materialize(links.distinct(), "template-links")
     for path in stored:
         remove_table(spark, path)

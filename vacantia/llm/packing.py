@@ -150,8 +150,8 @@ def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
         """Pieces (key, length, seq, slot) that have their sequence, in the order of the calls."""
         steps.append(table.select("key", "length", "seq", F.lit(len(steps)).alias("step"), F.col("slot").cast("int").alias("slot")))
 
-    def keep(table: DataFrame, label: str) -> DataFrame:
-        table, path = materialize(table, label)
+    def keep(table: DataFrame, label: str, rows: int) -> DataFrame:
+        table, path = materialize(table, label, rows)
         stored.append(path)
         return table
 
@@ -179,7 +179,7 @@ def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
                 swept, taken = n, fitted.where("seq is not null")
                 assign(taken)
                 moved = gaps.unionByName(taken.select("seq", (-F.col("length")).alias("gap"))).groupBy("seq").agg(F.sum("gap").alias("gap")).where("gap > 0")
-                gaps = keep(moved, "gaps")
+                gaps = keep(moved, "gaps", sum(counts.values()))
                 left = fitted.where("seq is null").select("key", "length")
                 continue
             # the fewest sequences that can hold them are opened with the longest
