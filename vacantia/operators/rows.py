@@ -90,11 +90,19 @@ class Filters:
 
 
 def dedupe_first(rows: DataFrame, key: str | Column, order: list[Column | str]) -> DataFrame:
-    """First row of each key; rows whose key is null or empty are all kept."""
+    """First row of each key; rows whose key is null or empty are all kept.
+
+    Where the order is of plain columns a frequent key is combined before the shuffle; else its rows are sorted in one task.
+    """
     k = F.col(key) if isinstance(key, str) else key
     keyed = rows.withColumn("__k", F.when(F.length(k.cast("string")) > 0, k.cast("string")))
-    unique = keyed.where("__k is not null").withColumn("__n", F.row_number().over(Window.partitionBy("__k").orderBy(*order))).where("__n = 1").drop("__n")
-    return unique.unionByName(keyed.where("__k is null")).drop("__k")
+    named = keyed.where("__k is not null")
+    if all(isinstance(o, str) for o in order):
+        columns = [F.col(f"`{c}`") for c in rows.columns]
+        unique = named.groupBy("__k").agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("__r")).select("__r.*")
+    else:
+        unique = named.withColumn("__n", F.row_number().over(Window.partitionBy("__k").orderBy(*order))).where("__n = 1").drop("__n", "__k")
+    return unique.unionByName(keyed.where("__k is null").drop("__k"))
 
 
 def dedupe_content(rows: DataFrame, id_col: str, content_col: str, order: list[Column | str]) -> DataFrame:

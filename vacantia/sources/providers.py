@@ -88,7 +88,7 @@ def ashby(boards: DataFrame) -> DataFrame:
     d = d.withColumn("p", kept)
     addresses = F.when(F.exists("p", lambda x: x["a"].isNotNull()), F.concat(F.lit("["), F.array_join(F.transform("p", lambda x: F.coalesce(x["a"], F.lit("{}"))), ","), F.lit("]")))
     return _columns(
-        d, "payload", sourceId=F.col("j.id"), title=F.col("j.title"), department=F.col("j.department"), team=F.col("j.team"), locationRaw=F.get("p", F.lit(0))["t"], extraLocations=F.when(F.size("p") > 1, F.transform(F.slice("p", 2, 10000), lambda x: x["t"])), locationStructured=addresses,
+        d, "payload", sourceId=F.col("j.id"), title=F.col("j.title"), department=F.col("j.department"), team=F.col("j.team"), locationRaw=F.get("p", F.lit(0))["t"], extraLocations=F.when(F.size("p") > 1, F.transform(F.slice("p", F.lit(2), F.greatest(F.size("p"), F.lit(0))), lambda x: x["t"])), locationStructured=addresses,
         employmentType=F.col("j.employmentType"), url=F.col("j.jobUrl"), applyUrl=F.col("j.applyUrl"), postedAt=F.col("j.publishedAt"), postedAtSource=F.lit("publishedAt"), descriptionHtml=F.col("j.descriptionHtml"), descriptionText=F.col("j.descriptionPlain"),
         workplaceType=F.col("j.workplaceType"), isRemote=F.col("j.isRemote"),
     )
@@ -108,7 +108,7 @@ def recruitee(boards: DataFrame) -> DataFrame:
     code = F.col("j.employment_type_code")
     structured = F.when(F.size("l") > 0, F.concat(F.lit("["), F.array_join(F.transform("l", lambda x: x["x"]), ","), F.lit("]")))
     return _columns(
-        d, "payload", sourceId=F.col("j.id"), title=F.col("j.title"), company=F.col("j.company_name"), department=F.col("j.department"), locationRaw=F.get("n", F.lit(0)), extraLocations=F.slice("n", 2, 10000), locationStructured=structured,
+        d, "payload", sourceId=F.col("j.id"), title=F.col("j.title"), company=F.col("j.company_name"), department=F.col("j.department"), locationRaw=F.get("n", F.lit(0)), extraLocations=F.slice("n", F.lit(2), F.greatest(F.size("n"), F.lit(0))), locationStructured=structured,
         employmentType=F.regexp_replace(code, "^(fulltime|parttime)_.*$", "$1"), employmentTypeRaw=blank_to_null(code), url=F.col("j.careers_url"), applyUrl=F.col("j.careers_apply_url"), postedAt=zone(F.col("j.published_at")), postedAtSource=F.lit("published_at"),
         updatedAt=zone(F.col("j.updated_at")), descriptionHtml=_lines([F.col("j.description"), F.col("j.requirements")]), remoteFlag=F.col("j.remote"), hybridFlag=F.col("j.hybrid"), onSiteFlag=F.col("j.on_site"),
     )
