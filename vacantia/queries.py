@@ -576,7 +576,7 @@ def q50_resolve_entries(spark, sf):
 SQL["q50_resolve_entries"] = "WITH " + _DIRECTORY + """, e AS (SELECT DISTINCT c_custkey % 6 AS k, c_custkey % 300 AS n FROM customer),
 h AS (SELECT e.k, e.n, count(*) AS hits, min(d.provider) AS provider, min(d.slug) AS slug FROM e JOIN d ON d.status = 'ok' AND CASE e.k WHEN 2 THEN lower(d.slug) = 'board' || e.n WHEN 3 THEN d.name_norm = 'firm ' || e.n WHEN 4 THEN d.domain = 'b' || e.n || '.example.org' ELSE false END GROUP BY ALL)
 SELECT CASE e.k WHEN 0 THEN 'lever:acme' WHEN 1 THEN 'https://jobs.lever.co/x' WHEN 2 THEN 'BOARD' WHEN 3 THEN ' Firm ' WHEN 4 THEN 'https://www.b' ELSE 'jobs.lever.co/acme%20' END || e.n || CASE WHEN e.k = 4 THEN '.example.org/jobs' ELSE '' END AS entry,
-CASE WHEN e.k < 2 OR hits = 1 THEN 'ok' WHEN hits > 1 THEN 'unconfirmed' WHEN e.k = 4 THEN 'unresolved_domain' ELSE 'not_found' END AS status,
+CASE WHEN e.k < 2 OR hits = 1 THEN 'ok' WHEN hits > 1 THEN 'unconfirmed' WHEN e.k >= 4 THEN 'unresolved_domain' ELSE 'not_found' END AS status,
 CASE WHEN e.k < 2 THEN 'lever' WHEN hits = 1 THEN provider END AS provider, CASE e.k WHEN 0 THEN 'acme' || e.n WHEN 1 THEN 'x' || e.n ELSE CASE WHEN hits = 1 THEN slug END END AS slug,
 CASE WHEN hits > 1 THEN hits ELSE 0 END::INTEGER AS n_candidates FROM e LEFT JOIN h USING (k, n)"""
 
