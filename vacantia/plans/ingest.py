@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import to_iso
@@ -18,6 +18,7 @@ from ..functions.work import detect_employment, detect_remote, lookup
 from ..operators.rows import Filters, dedupe_content, dedupe_first, delta, per_group_limit, upsert_seen
 from ..schema import JOB_SCHEMA
 from ..sources.providers import board_status, extract
+from ..sources.stores import store_once
 
 
 @dataclass
@@ -36,6 +37,11 @@ class Options:
     filters: Filters = field(default_factory=Filters)
 
 
+def _once(value: Column) -> Column:
+    """``value`` as an expression that the optimizer doesn't copy to each place that reads it, as it does with what is the same whenever computed."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def build_records(extracted: DataFrame, options: Options) -> DataFrame:
     """Job rows, in this order: description, redaction, sanitising, location, remote, employment, salary, dates, identity.
 
@@ -45,11 +51,11 @@ def build_records(extracted: DataFrame, options: Options) -> DataFrame:
     text_columns = [n for n, t in e.dtypes if t == "string" and n not in ("payload", "provider", "slug", "input")]
     e = e.withColumns({n: blank_to_null(n) for n in text_columns})
     e = e.withColumn("plain", F.coalesce("descriptionText", html_to_text("descriptionHtml")))
-    e = e.withColumn("body", redact_description("descriptionHtml", "plain", options.redact_contacts))
-    e = e.withColumn("place", parse_locations("locationRaw", "extraLocations", "locationStructured"))
+    e = e.withColumn("body", _once(redact_description("descriptionHtml", "plain", options.redact_contacts)))
+    e = e.withColumn("place", _once(parse_locations("locationRaw", "extraLocations", "locationStructured")))
     e = e.withColumn("first", F.col("place.primary"))
     names = lookup(load_geo().names, F.col("countryOverride"))
-    e = e.withColumn("pay", parse_salary("payload", "body.text", "first.city", "first.region", "first.country", "first.countryCode", "salaryText"))
+    e = e.withColumn("pay", _once(parse_salary("payload", "body.text", "first.city", "first.region", "first.country", "first.countryCode", "salaryText")))
     head = "body.text" if options.include_description else None
     e = e.withColumn("remote3", detect_remote("workplaceType", "remoteFlag", "hybridFlag", "onSiteFlag", "isRemote", "first.raw", "title", head))
     e = e.withColumn("work3", detect_employment("employmentType", "title", "schedule"))
@@ -79,10 +85,10 @@ def ingest(boards: DataFrame, options: Options, seen: DataFrame | None = None) -
     """jobs (with ord and row), summaries, errors and, with ``seen``, the seen-state after the run.
 
     Filter, then dedupe, then delta, then the limit of each company, then that of the run; the state marks delivered rows only. Where
-    new jobs alone are wanted but there is no state, nothing is delivered.
+    new jobs alone are wanted but there is no state, nothing is delivered. Records are built and stored once, as all results are made of them.
     """
     checked = board_status(boards)
-    built = build_records(extract(checked), options)
+    built = store_once(build_records(extract(checked), options), "records")
     kept = dedupe_first(built.where(options.filters.predicate()), "id", ["ord", "row"])
     if options.dedupe == "content":
         kept = dedupe_content(kept.drop("dedupedFrom"), "id", "contentKey", ["ord", "row"]).select(*built.columns)

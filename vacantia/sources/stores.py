@@ -6,6 +6,8 @@ partition, days are chosen by pruning, and a value is replaced as a whole by ove
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,21 @@ DIRECTORY = "provider string, slug string, site string, region string, name stri
 SEEN = "id string, firstSeen string, lastSeen string, changeHash string"
 
 
+_FALLBACK: dict[str, str] = {}
+
+
+def store_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as a table in the folder all executors share (spark.checkpoint.dir), for what several results are made of; where all tasks run here, a temporary one does."""
+    spark = df.sparkSession
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+    root = named or _FALLBACK.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="vacantia-"))
+    path = f"{root.rstrip('/')}/vacantia/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether any file is at ``path`` (patterns are allowed), in whichever file system it names."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
