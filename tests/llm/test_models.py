@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacantia.llm.fingerprints import containment, edited_fingerprints, fingerprints, merge
-from vacantia.llm.media import EDITED, decode, describe, draw_mosaic, encode, media_copies, mosaics
+from vacantia.llm import media
+from vacantia.llm.media import EDITED, decode, describe, draw_mosaic, draw_waves, encode, media_copies, mosaics
 from vacantia.llm.mixing import mix
 from vacantia.llm.quality import compile_score, fit_rules, quality
 from vacantia.llm.toxicity import toxicity
@@ -151,3 +152,29 @@ def test_shared_patches_hide_no_copies(spark):
         rows += [(k, encode(image)), (k + 1000, encode(image[:, 6:] * 0.9))]
     got = {r["media_id"]: r["group_id"] for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()}
     assert np.mean([got[k + 1000] == got[k] for k in range(60)]) >= 0.9
+
+
+def test_large_entries_hide_no_copies(spark, monkeypatch):
+    monkeypatch.setattr(media, "PAIRED", 2)  # every entry but those of one pair is large
+    draw = np.random.default_rng(14)
+    logo, rows = draw_waves(draw.normal(size=64)), []
+    for k in range(40):  # unlike images that share a patch with few corners, and of each two copies
+        image = draw_waves(draw.normal(size=64))
+        image[:34, :34] = logo[:34, :34]
+        rows += [(k, encode(image)), (k + 1000, encode(image * 0.9)), (k + 2000, encode(image[:, 5:]))]
+    got = {r["media_id"]: r["group_id"] for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()}
+    assert all(got[k + 1000] == got[k] == got[k + 2000] for k in range(40)) and len(set(got.values())) >= 30
+
+
+def test_near_points_of_a_block():
+    members = [{"node": i, "k": 0, "component": min(i, 3), "side": i > 2, "bits": [i, 0, 0, -1 if i == 2 else 0]} for i in range(5)]
+    assert set(media.near_points(members, True)) == {(a, 0, b, 0) for a in range(5) for b in range(a) if min(a, 3) != min(b, 3) and 2 not in (a, b)}
+    assert set(media.near_points(members, False)) == {(a, 0, b, 0) for a in (3, 4) for b in (0, 1)}
+
+
+def test_one_id_of_two_images_loses_neither(spark):
+    draw = np.random.default_rng(15)
+    a, b = (draw_waves(draw.normal(size=64)) for _ in range(2))
+    rows = [(1, encode(a)), (1, encode(b)), (2, encode(a * 0.9)), (3, encode(b * 0.9))]
+    got = sorted((r["media_id"], r["group_id"]) for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1)]

@@ -2,9 +2,9 @@
 
 Corners are taken at several scales, as many as the image's area gives room for, each with an orientation from the intensity centroid of its surroundings and
 256 binary tests on a pattern turned by it. Descriptors are cut into TABLES parts; two that differ in fewer bits than there
-are tables agree on a part for sure, and with an eighth of the bits wrong most corners of a copy still do. Each part is a hash table. All images of an
-entry are paired with each other; an entry of many is cut by the part next to it, so that what it has in common is twice as long, and only
-where that too is common are its images paired with the first. Pairs of corners whose descriptors are near vote for a turn, a zoom and
+are tables agree on a part for sure. Each part, with some bits of the next, is a hash table. All images of an entry are paired with each other; in an
+entry of many first with the one image at its head, which joins most copies, and then, block by block, all that are not in
+one group yet, so that no pair of an entry is left out. Pairs of corners whose descriptors are near vote for a turn, a zoom and
 a shift; two images are linked if enough distinct points agree, and copies are the components of links.
 """
 
@@ -20,14 +20,16 @@ from pyspark.sql import functions as F
 from .common import connected_components, materialize, remove_table, slices
 
 BITS, TABLES = 256, 8
+#: Bits of the next part that an entry has besides its own.
+BESIDE = 16
 #: Bits in which the descriptors of the same point may differ.
 NEAR = 64
 SCALES = (1.0, 1.5, 2.25)
 RADIUS = 11
 #: Pixels of a scaled image for each corner that is kept of it, the strongest first, and how many are kept of a small one.
 CORNER_AREA, CORNERS = 120, 24
-#: Points of an entry that are all paired.
-PAIRED = 32
+#: Points of an entry that are all paired at once; points that are compared in one go of larger ones.
+PAIRED, BLOCK = 32, 1024
 VOTES = 5
 
 
@@ -118,6 +120,26 @@ def describe(image) -> list[tuple[float, float, float, float, bytes]]:
     return found
 
 
+def near_points(members: list[dict], one: bool) -> list[tuple[int, int, int, int]]:
+    """(node, k, first, fk), node the larger, of an entry's points in different groups whose descriptors are near: of all if ``one``, else of the two sides."""
+    import numpy as np
+
+    node, k, component = (np.array([m[c] for m in members], dtype="int64") for c in ("node", "k", "component"))
+    side, bits = np.array([m["side"] for m in members]), np.array([m["bits"] for m in members], dtype="int64").view("uint64")
+    found = []
+    for i in range(len(members)):
+        j = np.nonzero((component != component[i]) & (node > node[i] if one else (side > side[i]) & (node != node[i])))[0]
+        j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype="int64") <= NEAR]
+        found += [(a, b, c, d) if a > c else (c, d, a, b) for c, d in [(int(node[i]), int(k[i]))] for a, b in zip(node[j].tolist(), k[j].tolist(), strict=True)]
+    return found
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, 1):
+        found = near_points(batch.column(1)[0].as_py(), batch.column(0)[0].as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=["node", "k", "first", "fk"])
+
+
 def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "image", votes: int = VOTES) -> DataFrame:
     """(media_id bigint, n_corners, group_id) of every row of ``media``.
 
@@ -126,11 +148,13 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     these are linked, null ones are not. Rows with a null id are returned with a null group. Repeated rows are returned each.
     """
     spark = media.sparkSession
-    # bytes first: copies of the same bytes are one image from here on
-    named = media.select(F.col(id_col).cast("bigint").alias("media_id"), F.col(image_col).alias("image")).withColumn("content", F.sha2("image", 256))
-    own = named.where("media_id is not null and content is not null").groupBy("content").agg(F.min("media_id").alias("node"))
-    own, _ = materialize(own, "media-contents")
-    images = named.join(own, (named["content"] == own["content"]) & (named["media_id"] == own["node"])).select("node", "image").dropDuplicates(["node"])
+    stored = []
+
+    def keep(table: DataFrame, label: str) -> DataFrame:
+        table, path = materialize(table, label)
+        stored.append(path)
+        return table
+
     kind = "array<struct<x:float,y:float,scale:float,angle:float,bits:array<bigint>>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,52 +162,72 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
 
         place = [(c, pa.float32()) for c in ("x", "y", "scale", "angle")]
         types = pa.list_(pa.struct([*place, ("bits", pa.list_(pa.int64()))]))
-        for batch in slices(batches, 256):
-            points = [describe(i) if (i := decode(x)) is not None else [] for x in batch.column(1).to_pylist()]
+        for batch in slices(batches, 64):
+            points = [describe(i) if (i := decode(x)) is not None else [] for x in batch.column(2).to_pylist()]
             rows = [[{**dict(zip(("x", "y", "scale", "angle"), p, strict=False)), "bits": np.frombuffer(p[4], "<i8").tolist()} for p in ps] for ps in points]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, points), pa.int32()), pa.array(rows, types)], names=["node", "n_corners", "points"])
-
-    described, _ = materialize(images.mapInArrow(run, f"node bigint, n_corners int, points {kind}"), "media-points")
-    points = described.select("node", F.posexplode("points").alias("k", "p"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, points), pa.int32()), pa.array(rows, types)], names=["media_id", "content", "n_corners", "points"])
+
+    # images are read once and never shuffled; copies of the same bytes are one node from here on
+    named = media.select(F.col(id_col).cast("bigint").alias("media_id"), F.sha2(image_col, 256).alias("content"), F.col(image_col).alias("image"))
+    described, _ = materialize(named.mapInArrow(run, f"media_id bigint, content string, n_corners int, points {kind}"), "media-points")
+    known = described.where("media_id is not null and content is not null").groupBy("content").agg(F.min("media_id").alias("least"), F.max("n_corners").alias("corners"))
+    # a number that packs well: the id, but for further images under the same one
+    turn = F.row_number().over(Window.partitionBy("least").orderBy("content"))
+    own, _ = materialize(known.withColumn("node", F.when(turn == 1, F.col("least")).otherwise(F.xxhash64("content"))), "media-contents")
+    images = described.select("content", "media_id", "points").join(own.where("corners > 0").select("content", F.col("least").alias("media_id"), "node"), ["content", "media_id"])
+    points = images.select("node", F.posexplode("points").alias("k", "p"))
     each = BITS // TABLES
     part = lambda t: F.shiftrightunsigned(F.get(F.col("p.bits"), t * each // 64), t * each % 64).bitwiseAND((1 << each) - 1)
-    entry = lambda keys: F.explode(F.array(*[F.xxhash64(*[F.lit(t) for t in ts], *[part(t) for t in ts]) for ts in keys])).alias("v")
-
-    def entries(points: DataFrame, keys: list[tuple[int, ...]], label: str) -> tuple[DataFrame, str]:
-        """Points (node, k) of the entries that two images share, n, how many the entry has, and its first image."""
-        whole = Window.partitionBy("v")
-        found = points.select("node", "k", entry(keys)).select("*", F.count("*").over(whole).alias("n"), F.min("node").over(whole).alias("first"), F.max("node").over(whole).alias("last"))
-        return materialize(found.where("first < last").drop("last"), label)
-
-    shared, shared_path = entries(points, [(t,) for t in range(TABLES)], "media-entries")
-    many = shared.where(F.col("n") > PAIRED).select("node", "k").distinct()
-    finer, finer_path = entries(points.join(many, ["node", "k"], "left_semi"), [(t, (t + 1) % TABLES) for t in range(TABLES)], "media-finer-entries")
-
-    def pairs(table: DataFrame) -> DataFrame:
-        few = table.where(F.col("n") <= PAIRED)
-        return few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node"))).select("a.node", "a.k", F.col("b.node").alias("first"), F.col("b.k").alias("fk"))
-
-    common = finer.where(F.col("n") > PAIRED)
-    heads = common.where("node = first").groupBy("v").agg(F.min("k").alias("fk"))
-    match = pairs(shared).union(pairs(finer)).union(common.where("node <> first").join(heads, "v").select("node", "k", "first", "fk")).distinct()
-    place = points.select("node", "k", "p.*")
-    match = match.join(place, ["node", "k"]).join(place.select(F.col("node").alias("first"), F.col("k").alias("fk"), F.struct("x", "y", "scale", "angle", "bits").alias("f")), ["first", "fk"])
-    apart = F.aggregate(F.zip_with("bits", "f.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
-    match = match.where(apart <= NEAR)
-    turn = F.pmod(F.col("angle") - F.col("f.angle"), F.lit(6.283185307179586))
-    moved = match.withColumn("zoom", F.col("scale") / F.col("f.scale")).withColumn("turn", turn)
-    moved = moved.withColumn("sx", F.col("x") - F.col("zoom") * (F.cos("turn") * F.col("f.x") - F.sin("turn") * F.col("f.y"))).withColumn("sy", F.col("y") - F.col("zoom") * (F.sin("turn") * F.col("f.x") + F.cos("turn") * F.col("f.y")))
-    # two grids, the second half a cell aside, so that votes on a border meet in one of them
-    cells = F.array(*[F.struct(F.lit(g).alias("g"), F.round(F.log2("zoom") * 1.7).alias("z"), F.floor(F.col("turn") / 0.35 + g / 2).alias("r"), F.floor(F.col("sx") / 12 + g / 2).alias("a"), F.floor(F.col("sy") / 12 + g / 2).alias("b")) for g in (0, 1)])
-    agreed = moved.select("node", F.col("first").alias("other"), "k", "fk", F.explode(cells).alias("c")).groupBy("node", "other", "c").agg(F.count_distinct("k").alias("n"), F.count_distinct("fk").alias("m"))
-    links = agreed.where((F.col("n") >= votes) & (F.col("m") >= votes)).select(F.col("node").alias("a"), F.col("other").alias("b"))
-    labels, _ = materialize(connected_components(links, "media"), "media-groups")
-    for path in (shared_path, finer_path):
+    beside = lambda t: part((t + 1) % TABLES).bitwiseAND((1 << BESIDE) - 1)
+    keys = F.explode(F.array(*[F.xxhash64(F.lit(t), part(t), beside(t)) for t in range(TABLES)])).alias("v")
+    whole = Window.partitionBy("v")
+    shared = points.select("node", "k", keys).select("*", F.count("*").over(whole).alias("n"), F.min(F.struct("node", "k")).over(whole).alias("head"), F.max("node").over(whole).alias("last"))
+    shared = keep(shared.where("head.node < last").select("v", "node", "k", F.col("n").cast("int").alias("n"), F.when(F.col("n") > PAIRED, F.col("head")).alias("head")), "media-entries")
+    few, many = shared.where(F.col("n") <= PAIRED).select("v", "node", "k"), shared.where(F.col("n") > PAIRED)
+    match = few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node"))).select("a.node", "a.k", F.col("b.node").alias("first"), F.col("b.k").alias("fk"))
+    match = match.union(many.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk")))
+
+    def linked(match: DataFrame) -> DataFrame:
+        """Links of the images of which enough of the pairs (node, k, first, fk) of points are near and agree."""
+        # most images that share an entry share fewer than it takes: they go before their points are read
+        enough = match.groupBy("node", "first").agg(F.collect_set(F.struct("k", "fk")).alias("m")).where(F.size("m") >= votes)
+        enough = keep(enough.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk"), "media-matches")
+        wanted = enough.select("node").union(enough.select("first")).distinct()
+        place = points.join(wanted, "node", "left_semi").select("node", "k", "p.*")
+        near = enough.join(place, ["node", "k"]).join(place.select(F.col("node").alias("first"), F.col("k").alias("fk"), F.struct("x", "y", "scale", "angle", "bits").alias("f")), ["first", "fk"])
+        apart = F.aggregate(F.zip_with("bits", "f.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
+        turn = F.pmod(F.col("angle") - F.col("f.angle"), F.lit(6.283185307179586))
+        moved = near.where(apart <= NEAR).withColumn("zoom", F.col("scale") / F.col("f.scale")).withColumn("turn", turn)
+        moved = moved.withColumn("sx", F.col("x") - F.col("zoom") * (F.cos("turn") * F.col("f.x") - F.sin("turn") * F.col("f.y"))).withColumn("sy", F.col("y") - F.col("zoom") * (F.sin("turn") * F.col("f.x") + F.cos("turn") * F.col("f.y")))
+        # two grids, the second half a cell aside, so that votes on a border meet in one of them
+        cells = F.array(*[F.struct(F.lit(g).alias("g"), F.round(F.log2("zoom") * 1.7).alias("z"), F.floor(F.col("turn") / 0.35 + g / 2).alias("r"), F.floor(F.col("sx") / 12 + g / 2).alias("a"), F.floor(F.col("sy") / 12 + g / 2).alias("b")) for g in (0, 1)])
+        agreed = moved.select("node", F.col("first").alias("other"), "k", "fk", F.explode(cells).alias("c")).groupBy("node", "other", "c").agg(F.count_distinct("k").alias("n"), F.count_distinct("fk").alias("m"))
+        links = agreed.where((F.col("n") >= votes) & (F.col("m") >= votes)).select(F.col("node").alias("a"), F.col("other").alias("b"))
+        return keep(links.distinct(), "media-links")
+
+    links = linked(match)
+    labels = keep(connected_components(links, "media"), "media-groups")
+    # what the heads have not joined: all pairs of a large entry whose images are not yet in one group
+    left = many.select("v", "n", "node", "k").join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").select("v", "n", "node", "k", F.coalesce("component", "node").alias("component"))
+    left = keep(left, "media-left")
+    several = left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v")
+    left = keep(left.join(several, "v", "left_semi"), "media-left")
+    if left.limit(1).count():
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        dealt = left.join(points.select("node", "k", F.col("p.bits").alias("bits")), ["node", "k"]).withColumn("own", F.pmod(F.xxhash64("node", "k"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        dealt = dealt.select("v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.struct("node", "k", "component", (F.col("own") > F.col("other")).alias("side"), "bits").alias("member"))
+        dealt = dealt.groupBy("v", "lo", "hi").agg(F.collect_list("member").alias("members")).select((F.col("lo") == F.col("hi")).alias("one"), "members")
+        found = keep(dealt.mapInArrow(_compare, "node bigint, k int, first bigint, fk int"), "media-pairs")
+        links = links.union(linked(match.union(found)))
+        labels = keep(connected_components(links, "media"), "media-groups")
+    groups = own.join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").select("content", "least", "corners", F.coalesce("component", "node").alias("component"))
+    groups = groups.join(groups.groupBy("component").agg(F.min("least").alias("group_id")), "component").select(F.col("content").alias("__content"), "corners", "group_id")
+    result = described.select("media_id", "content").join(groups, F.col("content") == F.col("__content"), "left")
+    result = result.select("media_id", F.coalesce("corners", F.lit(0)).alias("n_corners"), F.when(F.col("media_id").isNotNull(), F.coalesce("group_id", "media_id")).alias("group_id"))
+    result, _ = materialize(result, "media-result")
+    for path in stored:
         remove_table(spark, path)
-    groups = own.join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").join(described.select("node", "n_corners"), "node", "left")
-    groups = groups.select(F.col("content").alias("__content"), F.coalesce("component", "node").alias("group_id"), F.coalesce("n_corners", F.lit(0)).alias("n_corners"))
-    result = named.select("media_id", "content").join(groups, F.col("content") == F.col("__content"), "left")
-    return result.select("media_id", F.coalesce("n_corners", F.lit(0)).alias("n_corners"), F.when(F.col("media_id").isNotNull(), F.coalesce("group_id", "media_id")).alias("group_id"))
+    return result
 
 
 def draw_mosaic(vector: list[float], cell: int = 10):
@@ -202,6 +246,24 @@ def draw_mosaic(vector: list[float], cell: int = 10):
     return np.kron(grid.reshape(side, side), np.ones((cell, cell)))
 
 
+def draw_waves(vector: list[float], size: int = 80):
+    """A grey texture of a vector's values, each the weight of a wave along and across: what is around a corner depends on all values.
+
+    Corners of a mosaic look alike in all mosaics, and tell little of which it is.
+    """
+    import numpy as np
+
+    v = np.nan_to_num(np.array([0.0 if x is None else x for x in vector], dtype=float))
+    side = max(1, int(np.ceil(np.sqrt(len(v)))))
+    weights = np.zeros(side * side)
+    weights[: len(v)] = v
+    k = np.arange(side)
+    waves = np.cos(1.7 * np.pi * np.outer(k + 1, (np.arange(size) + 0.5) / size) + k[:, None])
+    drawn = waves.T @ weights.reshape(side, side) @ waves
+    low, high = drawn.min(), drawn.max()
+    return (drawn - low) / (high - low) * 235 + 10 if high > low else np.full((size, size), 128.0)
+
+
 #: Added to the id of an image for that of its edited copy.
 EDITED = 1 << 40
 
@@ -218,8 +280,8 @@ def edit(image, how: int, seed: int = 0):
     return np.clip(image * 0.8 + 20, 0, 255) if how == 2 else np.rot90(image)
 
 
-def mosaics(vectors: DataFrame, id_col: str, vector_col: str, edits: int = 0) -> DataFrame:
-    """(media_id, image): each vector drawn as an image; a null vector is a null image.
+def mosaics(vectors: DataFrame, id_col: str, vector_col: str, edits: int = 0, draw=draw_mosaic) -> DataFrame:
+    """(media_id, image): each vector drawn as an image by ``draw``; a null vector is a null image.
 
     With ``edits``, of each so many ids four in turn also have a copy by :func:`edit`, whose id is larger by EDITED.
     """
@@ -228,7 +290,7 @@ def mosaics(vectors: DataFrame, id_col: str, vector_col: str, edits: int = 0) ->
         for batch in slices(batches, 256):
             ids, drawn = [], []
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                image = None if v is None else draw_mosaic(v)
+                image = None if v is None else draw(v)
                 ids.append(i)
                 drawn.append(None if v is None else encode(image))
                 if edits and i is not None and v is not None and i % edits < 4:

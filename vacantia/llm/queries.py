@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table_path
+from .common import table_path
 from .fingerprints import edited_fingerprints
 from .line_templates import dedup_lines
-from .media import media_copies, mosaics
+from .media import draw_waves, media_copies, mosaics
 from .mixing import MIX_SQL, mix
 from .packing import pack_documents
 from .quality import quality
@@ -30,8 +30,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies among the images of all embeddings, each drawn as a mosaic, as the tables have no images of their own; of 20 ids four have an edited copy too."""
-    images, _ = materialize(mosaics(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", edits=20), "mosaics")
+    """Copies among the images of all embeddings, each drawn as a texture, as the tables have no images of their own; of 20 ids four have an edited copy too."""
+    images = mosaics(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", edits=20, draw=draw_waves)
     return media_copies(images).withColumnRenamed("media_id", "vec_id")
 
 
