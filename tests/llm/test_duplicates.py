@@ -243,3 +243,25 @@ def test_frequent_keys_are_joined_alike(spark):
     left = spark.createDataFrame([(k % 7 if k % 3 else 99, k) for k in range(3000)], "key bigint, x bigint")
     right = spark.createDataFrame([(99, 1000, "a"), (1, 280, "b"), (5, 1, "c"), (500, 1, "d")], "key bigint, n bigint, y string")
     assert sorted(map(tuple, join_frequent(left, right, "key").collect())) == sorted(map(tuple, left.join(right, "key").collect()))
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_keys_are_counted_without_sketches(spark, monkeypatch, most):
+    monkeypatch.setattr(line_templates, "BROADCAST_LINES", most)
+    levels, plans, materialize = [], [], line_templates.materialize
+
+    def stored(table, label, *rows):
+        plans.append(table._jdf.queryExecution().optimizedPlan().toString())
+        kept = materialize(table, label, *rows)
+        if label == "line-level" and "n" in table.columns:
+            levels.append([tuple(r) for r in kept[0].select("key", "line", "n").collect()])
+        return kept
+
+    monkeypatch.setattr(line_templates, "materialize", stored)
+    draw = random.Random(23)
+    lines = [["shared", "lead", *words(draw, 3, 5), "the", "same", "tail"] for _ in range(150)]
+    rows = [(line_id(" ".join(x)), *file_line(x)) for x in lines]
+    template_links(spark.createDataFrame([*rows, *rows], "line bigint, keys array<bigint>, form binary"), 8).count()
+    assert levels and levels[0] and not any("approx_count_distinct" in x for x in plans)
+    for level in levels:
+        assert all(n == len({b for k, b, _ in level if k == key}) for key, _, n in level)

@@ -28,7 +28,7 @@ LEAD = 2
 VARIABLE = "<*>"
 #: Lines of a key that are compared with each other; positions left open that are masked instead of cut into parts.
 COLD, OPEN = 64, 24
-#: Lines whose forms are looked up by a broadcast of their names; more are joined by shuffle.
+#: Lines, or keys of several lines, that are looked up by a broadcast of their names; more are joined by shuffle.
 BROADCAST_LINES = 500_000
 #: Lines that a task remembers having filed.
 SEEN = 100_000
@@ -159,21 +159,27 @@ def template_links(forms: DataFrame, cold: int = COLD) -> DataFrame:
         stored.append(path)
         return table
 
+    def of_keys(table: DataFrame, keys: DataFrame) -> DataFrame:
+        """Rows of ``table`` with one of ``keys`` (key, n), how many rows have it."""
+        return table.join(F.broadcast(keys), "key") if keys.count() <= BROADCAST_LINES else join_frequent(table, keys, "key")
+
     def several(table: DataFrame) -> DataFrame:
-        """Rows of keys with two lines or more, and lines, about how many."""
-        sizes = table.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.count("*").alias("n"), F.approx_count_distinct("line").alias("lines"))
-        sizes = keep(sizes.where("lo <> hi").select("key", "n", "lines"), "line-keys")
-        return keep(join_frequent(table, sizes, "key").drop("n").distinct(), "line-level")
+        """Rows of keys with two lines or more, and n, how many the key has."""
+        # lines are counted once only these keys' are left: a sketch for every key is most of what this shuffles
+        sizes = table.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.count("*").alias("n"))
+        sizes = keep(sizes.where("lo <> hi").select("key", "n"), "line-keys")
+        found = keep(of_keys(table, sizes).drop("n").distinct(), "line-level")
+        return keep(of_keys(found, keep(found.groupBy("key").agg(F.count("*").alias("n")), "line-keys")), "line-level")
 
     nothing = F.lit(None).cast("binary")
     level = several(forms.select("line", F.posexplode("keys").alias("segment", "key")).select("key", "line", "segment", nothing.alias("left")))
     wanted = F.broadcast(level.select("line")) if level.count() <= BROADCAST_LINES else level.select("line")
     known = keep(forms.join(wanted, "line", "left_semi").select("line", "form").dropDuplicates(["line"]), "line-forms")  # a line has the same form everywhere
     while True:
-        few = level.where(F.col("lines") <= cold).select("key", "line").join(known, "line")
+        few = level.where(F.col("n") <= cold).select("key", "line").join(known, "line")
         members = few.groupBy("key").agg(F.collect_list(F.struct("line", "form")).alias("members")).select("members")
         links = links.union(keep(members.mapInArrow(_compare, "a bigint, b bigint"), "line-links"))
-        many = level.where(F.col("lines") > cold)
+        many = level.where(F.col("n") > cold)
         if many.limit(1).count() == 0:
             break
         below = many.select("key", "line", "segment", "left").join(known, "line").select("key", "line", "segment", "left", "form")
