@@ -265,3 +265,21 @@ def test_keys_are_counted_without_sketches(spark, monkeypatch, most):
     assert levels and levels[0] and not any("approx_count_distinct" in x for x in plans)
     for level in levels:
         assert all(n == len({b for k, b, _ in level if k == key}) for key, _, n in level)
+
+
+def test_the_pipeline_links_by_simhash(spark):
+    import corpus_pipeline
+
+    draw, rows = random.Random(24), []
+    for k in range(12):
+        phrase, tail = words(draw, 13), words(draw, 60)
+        rows.append((10 * k, " ".join([*phrase * 40, *tail])))  # fingerprints of the phrase, shingle sets mostly of the tails
+        rows.append((10 * k + 1, " ".join([*phrase * 40, *words(draw, 60)])))
+        rows.append((10 * k + 2, " ".join([*phrase * 40, *tail[:54]])))
+    rows += [(500, ""), (501, None), (502, "a b c d e f"), (None, "a b c d e f")]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars int")
+    by_print = {r["doc_id"]: r["component_id"] for r in simhash_components(docs).collect() if r["doc_id"] is not None}
+    texts = [(i, t or "") for i, t in rows if i is not None]
+    want = union([i for i, _ in texts], [*by_print.items(), *exact_links(texts)])
+    assert sum(want[10 * k + 1] == 10 * k for k in range(12)) >= 6 and want != union([i for i, _ in texts], exact_links(texts))
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {*want.values(), None}
