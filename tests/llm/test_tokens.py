@@ -106,6 +106,35 @@ def test_sweeps_across_ranges_are_best_fit(spark, monkeypatch, rows):
     assert len({r["seq"] for r in rows if r["seq"] is not None}) == sum(r["seq"] is not None for r in rows)
 
 
+@pytest.mark.parametrize("rows", [7, 20_000])
+def test_slots_of_a_gap_are_not_rows(spark, monkeypatch, rows):
+    monkeypatch.setattr(packing, "RANGE_ROWS", rows)
+    draw = random.Random(9)
+    pieces, gaps = [draw.randint(3, 10) for _ in range(200)], [draw.choice([4, 9, 30, 95, 100]) for _ in range(30)]
+    events, materialize = [], packing.materialize
+
+    def stored(table, label, rows=None):
+        if label == "swept":
+            events.append(table.count())
+        return materialize(table, label, rows)
+
+    monkeypatch.setattr(packing, "materialize", stored)
+    left = spark.createDataFrame(list(enumerate(pieces)), "key bigint, length bigint")
+    table, _ = packing.sweep(left, spark.createDataFrame(list(enumerate(gaps)), "seq bigint, gap bigint"), 10, 3, len(pieces), len(gaps))
+    got = table.collect()
+    slots = [n for g in gaps if g >= 3 for n in [max(1, min(g // 10, -(-2 * len(pieces) // len(gaps))))]]
+    sizes = [x for g, n in zip(gaps, slots, strict=True) for x in [*[10] * (n - 1), g - 10 * (n - 1)]]
+    best = Counter(p for p, g in best_fit(pieces, sizes) if g is not None)
+    assert Counter(r["length"] for r in got if r["seq"] is not None) == best and sorted(r["length"] for r in got) == sorted(pieces)
+    taken = [(r["seq"], r["slot"]) for r in got if r["seq"] is not None]
+    assert len(set(taken)) == len(taken) and all(s < slots[q] for q, s in taken)
+    used = Counter()
+    for r in got:
+        used[r["seq"]] += r["length"]
+    assert all(used[q] <= g for q, g in enumerate(gaps))
+    assert events[0] <= len(pieces) + 2 * len(gaps) < len(pieces) + len(sizes)
+
+
 def test_longest_pieces(spark):
     draw = random.Random(4)
     lengths = [draw.randint(1, 5) for _ in range(500)]

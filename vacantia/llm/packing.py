@@ -82,12 +82,18 @@ def sweep_range(piece, size):
 
 
 def _sweep_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A range's events (size, piece, id, slot) to its pieces with the gap they take, and what is left over, with its rank."""
+    """A range's events (size, piece, id, slot, times) to its pieces with the gap they take, and what is left over, with its rank.
+
+    The slots that a gap offers are counted only here; those that none takes, its first ones, are a row again, with the rank of the last.
+    """
     import numpy as np
     from pyspark import TaskContext
 
     batches = list(batches)
-    size, piece, own, slot = (np.concatenate([np.zeros(0, t), *(b.column(k).to_numpy(zero_copy_only=False) for b in batches)]) for k, t in enumerate(("int64", bool, "int64", "int32")))
+    size, piece, own, slot, times = (np.concatenate([np.zeros(0, t), *(b.column(k).to_numpy(zero_copy_only=False) for b in batches)]) for k, t in enumerate(("int64", bool, "int64", "int32", "int32")))
+    event = np.repeat(np.arange(len(piece)), times)
+    slot = slot[event] + (np.arange(len(event)) - (np.cumsum(times) - times)[event])
+    size, piece, own = size[event], piece[event], own[event]
     taken = sweep_range(piece, size)
     used = np.zeros(len(piece), dtype=bool)
     used[taken[taken >= 0]] = True
@@ -95,9 +101,13 @@ def _sweep_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     at, found = taken[keep], taken[keep] >= 0
     over = piece[keep] & ~found, ~piece[keep]
     rank = np.where(over[0], np.cumsum(over[0]), np.where(over[1], np.cumsum(over[1]), 0))
+    left = np.bincount(event[keep[over[1]]], minlength=len(times))[event[keep]]
+    row = np.append(event[keep[1:]] != event[keep[:-1]], True) if len(keep) else found
+    keep, at, found, rank, left = keep[row], at[row], found[row], rank[row], np.where(piece[keep], 1, left)[row]
+    slot[keep] -= np.where(piece[keep], 0, left - 1)
     seq = pa.array(own[at], pa.int64(), mask=~found)
-    arrays = [pa.array(np.full(len(keep), TaskContext.get().partitionId()), pa.int32()), pa.array(piece[keep]), pa.array(own[keep]), pa.array(np.where(found, slot[at], slot[keep]), pa.int32()), pa.array(size[keep]), seq, pa.array(rank, pa.int64())]
-    yield pa.RecordBatch.from_arrays(arrays, names=["part", "piece", "id", "slot", "size", "seq", "rank"])
+    arrays = [pa.array(np.full(len(keep), TaskContext.get().partitionId()), pa.int32()), pa.array(piece[keep]), pa.array(own[keep]), pa.array(np.where(found, slot[at], slot[keep]), pa.int32()), pa.array(size[keep]), seq, pa.array(rank, pa.int64()), pa.array(left, pa.int32())]
+    yield pa.RecordBatch.from_arrays(arrays, names=["part", "piece", "id", "slot", "size", "seq", "rank", "times"])
 
 
 def sweep(left: DataFrame, gaps: DataFrame, longest: int, least: int, n_left: int, n_gaps: int) -> tuple[DataFrame, str]:
@@ -107,32 +117,43 @@ def sweep(left: DataFrame, gaps: DataFrame, longest: int, least: int, n_left: in
     shortest piece. The counts size the ranges.
     """
     slots = F.least(F.greatest(F.floor(F.col("gap") / longest), F.lit(1)), F.lit(max(1, -(-2 * n_left // max(1, n_gaps)))))
-    offered = gaps.where(F.col("gap") >= least).withColumn("n", slots).withColumn("slot", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))))
-    room = F.when(F.col("slot") == F.col("n") - 1, F.col("gap") - longest * (F.col("n") - 1)).otherwise(F.lit(longest))
-    events = offered.select(room.cast("bigint").alias("size"), F.lit(False).alias("piece"), F.col("seq").alias("id"), "slot")
-    events = events.unionByName(left.select(F.col("length").alias("size"), F.lit(True).alias("piece"), F.col("key").alias("id"), F.lit(0).alias("slot")))
+    offered = gaps.where(F.col("gap") >= least).withColumn("more", slots.cast("int") - 1)
+    run = lambda size, slot, times: F.struct(size.cast("bigint").alias("size"), slot.alias("slot"), times.alias("times"))
+    largest, others = run(F.col("gap") - longest * F.col("more"), F.col("more"), F.lit(1)), run(F.lit(longest), F.lit(0), F.col("more"))
+    runs = offered.select("seq", F.explode(F.when(F.col("more") > 0, F.array(largest, others)).otherwise(F.array(largest))).alias("r"))
+    events = runs.select("r.size", F.lit(False).alias("piece"), F.col("seq").alias("id"), "r.slot", "r.times")
+    events = events.unionByName(left.select(F.col("length").alias("size"), F.lit(True).alias("piece"), F.col("key").alias("id"), F.lit(0).alias("slot"), F.lit(1).alias("times")))
     order = [F.desc("size"), F.asc("piece"), F.asc("id"), F.asc("slot")]
     rows = 3 * n_left + n_gaps
     ranges = max(1, -(-rows // max(RANGE_ROWS, math.isqrt(rows))))
     ranged = events.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    swept, swept_path = materialize(ranged.mapInArrow(_sweep_ranges, "part int, piece boolean, id bigint, slot int, size bigint, seq bigint, rank bigint"), "swept")
+    swept, swept_path = materialize(ranged.mapInArrow(_sweep_ranges, "part int, piece boolean, id bigint, slot int, size bigint, seq bigint, rank bigint, times int"), "swept")
 
     if ranges == 1:
         return swept.where("piece").select(F.col("id").alias("key"), F.col("size").alias("length"), "seq", "slot"), swept_path
     fitted = lambda table: table.select(F.col("id").alias("key"), F.col("size").alias("length"), "seq", F.coalesce("slot", F.lit(0)).alias("slot"))
     over = swept.where("rank > 0")
-    parts = [tuple(r) for r in over.groupBy("part").agg(F.count_if("piece"), F.count_if(~F.col("piece"))).collect()]  # a row a range
+    parts = [tuple(r) for r in over.groupBy("part").agg(F.count_if("piece"), F.coalesce(F.sum(F.when(~F.col("piece"), F.col("times"))), F.lit(0))).collect()]  # a row a range
     if len(parts) < 2 or not all(sum(p[k] for p in parts) for k in (1, 2)):
         return fitted(swept.where("piece")), swept_path
     begin, height = [], 0
     for part, n_pieces, n_open in sorted(parts):
         begin.append((part, n_pieces, height))
         height += n_open - n_pieces
-    begin = F.broadcast(left.sparkSession.createDataFrame(begin, "part int, pieces bigint, height bigint"))
-    height = F.when(F.col("piece"), F.col("height") - F.col("rank") + 1).otherwise(F.col("height") - F.col("pieces") + F.col("rank"))
+    # the levels of a range's gaps that later pieces come down to; those below are of no use
+    low, ranges = height, []
+    for part, n_pieces, height in reversed(begin):
+        ranges.append((part, n_pieces, height, max(low, height - n_pieces)))
+        low = min(low, height - n_pieces)
+    begin = F.broadcast(left.sparkSession.createDataFrame(ranges, "part int, pieces bigint, height bigint, low bigint"))
+    last = F.col("height") - F.col("pieces") + F.col("rank")
+    first = F.greatest(last - F.col("times") + 1, F.col("low") + 1)
+    levels = F.when(F.col("piece"), F.array(F.col("height") - F.col("rank") + 1)).when(last >= first, F.sequence(first, last))
     # at one height a range has at most a piece and then a gap
     before = F.lag(F.struct("piece", "id", "slot")).over(Window.partitionBy("level").orderBy("part", F.desc("piece")))
-    late = over.join(begin, "part").withColumn("level", height).withColumn("before", before).where("piece")
+    late = over.join(begin, "part").withColumn("level", F.explode(levels))
+    late = late.withColumn("slot", F.when(F.col("piece"), F.col("slot")).otherwise(F.col("slot") + (F.col("level") - last + F.col("times") - 1).cast("int")))
+    late = late.withColumn("before", before).where("piece")
     taken = F.col("before.id").isNotNull() & ~F.col("before.piece")
     late = late.withColumn("seq", F.when(taken, F.col("before.id"))).withColumn("slot", F.when(taken, F.col("before.slot")))
     result = materialize(fitted(swept.where("rank = 0")).unionByName(fitted(late)), "fitted")
