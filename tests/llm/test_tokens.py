@@ -183,3 +183,40 @@ def test_packing(spark, encoder):
     assert pack_documents(docs.limit(0), "byte_bpe_50k.json").count() == 0
     one = pack_documents(spark.createDataFrame([(1, "")], "doc_id bigint, text string"), "byte_bpe_50k.json", size=1).collect()
     assert [(r["length"], r["offset"]) for r in one] == [(1, 0)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_plans_are_best_fit_by_falling_length(seed):
+    draw = random.Random(seed)
+    size = draw.choice([1, 7, 40, 100])
+    lengths = [min(size, draw.choice([1, 3, draw.randint(1, size)])) for _ in range(draw.choice([0, 1, 30, 400]))]
+    plan = packing.plan_sequences(Counter(lengths), size)
+    got, held = [], Counter()
+    for n, own in plan:
+        assert n > 0 and sum(x * k for x, k in own) <= size
+        got += [size - sum(x * k for x, k in own)] * n
+        held.update({x: n * k for x, k in own})
+    gaps = []
+    for x in sorted(lengths, reverse=True):  # one by one
+        k = bisect.bisect_left(gaps, x)
+        bisect.insort(gaps, (gaps.pop(k) if k < len(gaps) else size) - x)
+    assert sorted(got) == gaps and held == Counter(lengths) and len(plan) <= 3 * len(set(lengths))
+
+
+@pytest.mark.parametrize(("longest", "tables"), [(8192, 3), (63, 1000)])
+def test_packing_takes_few_tables(spark, encoder, monkeypatch, longest, tables):
+    monkeypatch.setattr(packing, "PLANNED", longest)
+    monkeypatch.setattr(packing, "RANGE_ROWS", 300)
+    draw, labels, materialize = random.Random(31), [], packing.materialize
+
+    def stored(table, label, rows=None):
+        labels.append(label)
+        return materialize(table, label, rows)
+
+    monkeypatch.setattr(packing, "materialize", stored)
+    rows = [(k, "w " * draw.choice([3, 3, 5, 9, draw.randint(0, 70)]), "z") for k in range(1500)]
+    got = pack_documents(spark.createDataFrame(rows, SCHEMA), "byte_bpe_50k.json", size=64, end_id=2).collect()
+    ids, spans = check_packing(got, [r[:2] for r in rows], encoder, 64)
+    assert len(labels) <= tables and sum(r["length"] for r in got) == sum(map(len, ids.values()))
+    assert sorted((r["doc_id"], r["piece"]) for r in got) == sorted((i, p) for i, x in ids.items() for p in range(-(-len(x) // 64)))
+    assert len(spans) <= -(-sum(map(len, ids.values())) // 64) * (1.02 if longest > 64 else 1.15) + 1

@@ -1,6 +1,11 @@
-"""Operator 10, best-fit packing: bulk-synchronous best fit of documents into sequences of fixed length.
+"""Operator 10, best-fit packing: best fit, longest first, of documents into sequences of fixed length.
 
-Documents longer than a sequence are cut into whole sequences, the first piece being the shorter one. Whole sequences need no fitting. The other
+Documents longer than a sequence are cut into whole sequences, the first piece being the shorter one. Pieces of one length are alike: how many
+there are of each length, at most as many numbers as a sequence is long, decides what best fit by falling length makes of them. The driver
+plans on these counts (:func:`plan_sequences`): kinds of sequences, how many of each, and which lengths they hold. The pieces are then numbered by length, across
+tasks, and a piece's number says its sequence and its place there, so that the pieces are shuffled once.
+
+Sequences of over PLANNED tokens are filled by bulk-synchronous sweeps instead (:func:`sweep_pieces`). There whole sequences need no fitting. The other
 pieces are dealt in supersteps, class by class from the longest lengths. A superstep sorts its pieces and the
 gaps of all open sequences together by range of size, larger ones first, a gap before a piece of its size, and sweeps down: a gap is put
 on a stack, a piece takes the top, which is the smallest gap that holds it. Pieces that want the same gap thus get it and its successors in the
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import materialize, remove_table, slices, texts_of
 from .tokenizing import byte_encoder, tokenizer_path
 
+#: Longest sequence that is planned from the counts of its lengths; a plan has at most three kinds of sequences a length.
+PLANNED = 8192
 #: Pieces and gaps that a range of a sweep has at least, about; it has the root of their number where that is more, and there are no more ranges.
 RANGE_ROWS = 20_000
 #: A class is swept again if at least one in so many of its pieces found a gap; else it opens sequences first.
@@ -161,8 +169,118 @@ def sweep(left: DataFrame, gaps: DataFrame, longest: int, least: int, n_left: in
     return result
 
 
+def plan_sequences(counts: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Best fit by falling length of ``counts`` pieces of each length: (how many sequences, their (length, times), longest first) for each kind.
+
+    A piece takes the smallest gap that holds it, and its equals fill what is left of that gap, which is then the smallest. So all sequences of
+    a kind are filled alike, but for one at most that a length does not fill: a length adds two kinds, and one more if it opens sequences.
+    """
+    open_gaps: list[int] = []
+    kinds: dict[int, list[tuple[int, tuple | None]]] = {}  # by gap: how many sequences, and their (length, times, those before)
+
+    def add(gap: int, n: int, held: tuple | None) -> None:
+        if n:
+            if gap not in kinds:
+                insort(open_gaps, gap)
+            kinds.setdefault(gap, []).append((n, held))
+
+    def fill(gap: int, n: int, held: tuple | None, length: int, count: int) -> int:
+        """``n`` sequences with a gap take ``count`` pieces, or as many as they hold; how many are left."""
+        each = gap // length
+        full = min(n, count // each)
+        some = count - full * each if full < n else 0
+        add(gap - each * length, full, (length, each, held))
+        add(gap - some * length, int(some > 0), (length, some, held))
+        add(gap, n - full - (some > 0), held)
+        return count - full * each - some
+
+    for length, count in sorted(counts.items(), reverse=True):
+        at = bisect_left(open_gaps, length)
+        while count and at < len(open_gaps):
+            gap = open_gaps.pop(at)
+            for n, held in kinds.pop(gap):
+                count = fill(gap, n, held, length, count)
+            at = bisect_left(open_gaps, length)
+        if count:
+            fill(size, -(-count // (size // length)), None, length, count)
+    plan = []
+    for gap in sorted(kinds):
+        for n, held in kinds[gap]:
+            lengths = []
+            while held:
+                lengths.append(held[:2])
+                held = held[2]
+            plan.append((n, lengths[::-1]))
+    return plan
+
+
+def _number_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces with their range and their number among those of their length there; ``length`` is the last column."""
+    import numpy as np
+    from pyspark import TaskContext
+
+    seen: dict[int, int] = {}
+    for batch in batches:
+        length = batch.column(batch.num_columns - 1).to_numpy()
+        number, order = np.empty(len(length), "int64"), np.argsort(length, kind="stable")
+        found, begin, n = np.unique(length[order], return_index=True, return_counts=True)
+        number[order] = np.arange(len(length)) - np.repeat(begin, n) + np.repeat([seen.get(x, 0) for x in found.tolist()], n).astype("int64")
+        for x, k in zip(found.tolist(), n.tolist(), strict=True):
+            seen[x] = seen.get(x, 0) + k
+        part = pa.array(np.full(len(length), TaskContext.get().partitionId()), pa.int32())
+        yield pa.RecordBatch.from_arrays([*batch.columns, part, pa.array(number)], names=[*batch.schema.names, "part", "number"])
+
+
 def place_pieces(pieces: DataFrame, size: int) -> DataFrame:
     """``pieces`` (a stored table with key and length) without key, with sequence_id and offset."""
+    import numpy as np
+
+    if size > PLANNED:
+        return sweep_pieces(pieces, size)
+    spark = pieces.sparkSession
+    columns = [c for c in pieces.columns if c not in ("key", "length")]
+    rows = pieces.count()
+    ranged = pieces.repartitionByRange(max(1, -(-rows // max(RANGE_ROWS, math.isqrt(rows)))), "length", "key").select(*columns, "length")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.schema)
+    numbered, path = materialize(ranged.mapInArrow(_number_range, f"{kinds}, part int, number bigint"), "numbered")
+    # lengths are in order of the ranges: a row for each length and each range, about
+    counts = sorted(map(tuple, numbered.groupBy("length", "part").count().collect()))
+    of_length: dict[int, int] = {}
+    for length, _, n in counts:
+        of_length[length] = of_length.get(length, 0) + n
+    # places of all pieces in a row, by length and then by sequence: where a range's pieces of a length begin, and where those of a kind do
+    own = np.array([part * (size + 1) + length for length, part, _ in counts], dtype="int64")
+    first = np.cumsum([0, *(n for *_, n in counts)])[:-1]
+    order = np.argsort(own)
+    own, first = own[order], first[order]
+    held, sequence = [], 0
+    for n, lengths in plan_sequences(of_length, size):
+        offset = 0
+        for length, times in lengths:
+            held.append((length, sequence, offset, times, n * times))
+            offset += length * times
+        sequence += n
+    _, kind, place, each, n = np.array(sorted(held), dtype="int64").reshape(-1, 5).T
+    begin = np.cumsum(n) - n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, part, number = (batch.column(c).to_numpy() for c in ("length", "part", "number"))
+            at = first[np.searchsorted(own, part.astype("int64") * (size + 1) + length)] + number
+            k = np.searchsorted(begin, at, side="right") - 1
+            at = at - begin[k]
+            arrays = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(kind[k] + at // each[k]), pa.array(place[k] + at % each[k] * length)], names=[*names, "sequence_id", "offset"])
+
+    names = [c for c in pieces.columns if c != "key"]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.select(*names).schema)
+    result, _ = materialize(numbered.mapInArrow(run, f"{kinds}, sequence_id bigint, offset bigint"), "packed")
+    remove_table(spark, path)
+    return result
+
+
+def sweep_pieces(pieces: DataFrame, size: int) -> DataFrame:
+    """As :func:`place_pieces`, in sweeps."""
     spark = pieces.sparkSession
     steps: list[DataFrame] = []
     stored: list[str] = []
