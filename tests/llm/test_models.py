@@ -178,3 +178,26 @@ def test_one_id_of_two_images_loses_neither(spark):
     rows = [(1, encode(a)), (1, encode(b)), (2, encode(a * 0.9)), (3, encode(b * 0.9))]
     got = sorted((r["media_id"], r["group_id"]) for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect())
     assert got == [(1, 1), (1, 1), (2, 1), (3, 1)]
+
+
+def test_popular_points_are_not_paired_in_vain(spark, monkeypatch):
+    draw = np.random.default_rng(17)
+    logo, rows, made, materialize = draw_waves(draw.normal(size=64)), [], [], media.materialize
+    for k in range(25):  # unlike images that share one corner or so, and of each fifth a copy
+        image = draw_waves(draw.normal(size=64))
+        image[:27, :27] = logo[:27, :27]
+        rows += [(k, encode(image)), *[(k + 1000, encode(image * 0.9))] * (k % 5 == 0)]
+
+    def stored(table, label, *n):
+        kept = materialize(table, label, *n)
+        if label == "media-pairs":
+            made.append(kept[0].count())
+        return kept
+
+    monkeypatch.setattr(media, "materialize", stored)
+    groups = []
+    for paired in (2, 10**6):
+        monkeypatch.setattr(media, "PAIRED", paired)
+        groups.append(sorted(tuple(r) for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()))
+    assert groups[0] == groups[1] and len({g for *_, g in groups[0]}) < len(rows)
+    assert sum(made) < 25

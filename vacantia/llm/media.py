@@ -4,7 +4,8 @@ Corners are taken at several scales, as many as the image's area gives room for,
 256 binary tests on a pattern turned by it. Descriptors are cut into TABLES parts; two that differ in fewer bits than there
 are tables agree on a part for sure. Each part, with some bits of the next, is a hash table. All images of an entry are paired with each other; in an
 entry of many first with the one image at its head, which joins most copies, and then, block by block, all that are not in
-one group yet, so that no pair of an entry is left out. Pairs of corners whose descriptors are near vote for a turn, a zoom and
+one group yet, so that no pair of an entry is left out
+but those that cannot get enough votes: pairs that have smaller entries too are looked up, others need as many points in large ones. Pairs of corners whose descriptors are near vote for a turn, a zoom and
 a shift; two images are linked if enough distinct points agree, and copies are the components of links.
 """
 
@@ -213,12 +214,25 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     several = left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v")
     left = keep(left.join(several, "v", "left_semi"), "media-left")
     if left.limit(1).count():
+        # pairs that other entries have too: those that may get enough votes with these entries' points, which are looked up pair by pair
+        points_of = lambda table: table.groupBy("node").agg(F.count_distinct("k").alias("own"))
+        own_points = keep(left.groupBy("node").agg(F.count_distinct("k").alias("own"), F.first("component").alias("component")), "media-points-left")
+        known = match.join(own_points, "node").join(own_points.select(F.col("node").alias("first"), F.col("own").alias("other"), F.col("component").alias("beside")), "first").where("component <> beside")
+        known = known.groupBy("node", "first", "own", "other").agg(F.collect_set(F.struct("k", "fk")).alias("m"))
+        known = keep(known.where((F.size(F.array_distinct("m.k")) + F.col("own") >= votes) & (F.size(F.array_distinct("m.fk")) + F.col("other") >= votes)).select("node", "first", "m"), "media-known")
+        again = known.select("node", "first").join(left.select("v", "node", "k"), "node").join(left.select("v", F.col("node").alias("first"), F.col("k").alias("fk")), ["v", "first"]).select("node", "k", "first", "fk")
+        again = again.union(known.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk"))
+        # all other pairs have all their votes here: images with fewer points than that in entries of several groups can't have them
+        for _ in range(2):
+            left = keep(left.join(points_of(left).where(F.col("own") >= votes), "node", "left_semi"), "media-left")
+            several = left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v")
+            left = keep(left.join(several, "v", "left_semi"), "media-left")
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         dealt = left.join(points.select("node", "k", F.col("p.bits").alias("bits")), ["node", "k"]).withColumn("own", F.pmod(F.xxhash64("node", "k"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         dealt = dealt.select("v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.struct("node", "k", "component", (F.col("own") > F.col("other")).alias("side"), "bits").alias("member"))
         dealt = dealt.groupBy("v", "lo", "hi").agg(F.collect_list("member").alias("members")).select((F.col("lo") == F.col("hi")).alias("one"), "members")
         found = keep(dealt.mapInArrow(_compare, "node bigint, k int, first bigint, fk int"), "media-pairs")
-        links = links.union(linked(match.union(found)))
+        links = links.union(linked(again.union(found)))
         labels = keep(connected_components(links, "media"), "media-groups")
     groups = own.join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").select("content", "least", "corners", F.coalesce("component", "node").alias("component"))
     groups = groups.join(groups.groupBy("component").agg(F.min("least").alias("group_id")), "component").select(F.col("content").alias("__content"), "corners", "group_id")
