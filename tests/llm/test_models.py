@@ -201,3 +201,20 @@ def test_popular_points_are_not_paired_in_vain(spark, monkeypatch):
         groups.append(sorted(tuple(r) for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()))
     assert groups[0] == groups[1] and len({g for *_, g in groups[0]}) < len(rows)
     assert sum(made) < 25
+
+
+def test_a_group_of_copies_is_paired_with_its_head(spark, monkeypatch):
+    draw = np.random.default_rng(18)
+    picture, made, materialize = draw_waves(draw.normal(size=64)), [], media.materialize
+    rows = [(k, encode(picture * (1 - 0.02 * k))) for k in range(24)] + [(k + 100, encode(draw_waves(draw.normal(size=64)))) for k in range(4)]
+
+    def stored(table, label, *n):
+        kept = materialize(table, label, *n)
+        if label == "media-matches":
+            made.append(kept[0].count())
+        return kept
+
+    monkeypatch.setattr(media, "materialize", stored)
+    got = media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()
+    assert {r["media_id"]: r["group_id"] for r in got} == {i: 0 if i < 100 else i for i, _ in rows}
+    assert sum(made) < 2 * sum(r["n_corners"] for r in got)  # all pairs would make about twelve times as many

@@ -2,11 +2,11 @@
 
 Corners are taken at several scales, as many as the image's area gives room for, each with an orientation from the intensity centroid of its surroundings and
 256 binary tests on a pattern turned by it. Descriptors are cut into TABLES parts; two that differ in fewer bits than there
-are tables agree on a part for sure. Each part, with some bits of the next, is a hash table. All images of an entry are paired with each other; in an
-entry of many first with the one image at its head, which joins most copies, and then, block by block, all that are not in
-one group yet, so that no pair of an entry is left out
-but those that cannot get enough votes: pairs that have smaller entries too are looked up, others need as many points in large ones. Pairs of corners whose descriptors are near vote for a turn, a zoom and
-a shift; two images are linked if enough distinct points agree, and copies are the components of links.
+are tables agree on a part for sure. Each part, with some bits of the next, is a hash table. The images of an entry are first paired with the one
+at its head, which joins most copies, so that a group of them makes as many pairs as it has images; then all that are not in
+one group yet are paired with each other, in an entry of many block by block, so that no pair of an entry is left out
+but those that cannot get enough votes: pairs that have smaller entries too are looked up in large ones if these can make up the votes, others need as many points there. Pairs of
+corners whose descriptors are near vote for a turn, a zoom and a shift; two images are linked if enough distinct points agree, and copies are the components of links.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ SCALES = (1.0, 1.5, 2.25)
 RADIUS = 11
 #: Pixels of a scaled image for each corner that is kept of it, the strongest first, and how many are kept of a small one.
 CORNER_AREA, CORNERS = 120, 24
-#: Points of an entry that are all paired at once; points that are compared in one go of larger ones.
+#: Points of an entry whose pairs are all made at once; points that are compared in one go of larger ones.
 PAIRED, BLOCK = 32, 1024
 VOTES = 5
 
@@ -183,11 +183,7 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     keys = F.explode(F.array(*[F.xxhash64(F.lit(t), part(t), beside(t)) for t in range(TABLES)])).alias("v")
     whole = Window.partitionBy("v")
     shared = points.select("node", "k", keys).select("*", F.count("*").over(whole).alias("n"), F.min(F.struct("node", "k")).over(whole).alias("head"), F.max("node").over(whole).alias("last"))
-    shared = keep(shared.where("head.node < last").select("v", "node", "k", F.col("n").cast("int").alias("n"), F.when(F.col("n") > PAIRED, F.col("head")).alias("head")), "media-entries")
-    few, many = shared.where(F.col("n") <= PAIRED).select("v", "node", "k"), shared.where(F.col("n") > PAIRED)
-    match = few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node"))).select("a.node", "a.k", F.col("b.node").alias("first"), F.col("b.k").alias("fk"))
-    match = match.union(many.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk")))
-
+    shared = keep(shared.where("head.node < last").select("v", "node", "k", F.col("n").cast("int").alias("n"), "head"), "media-entries")
     def linked(match: DataFrame) -> DataFrame:
         """Links of the images of which enough of the pairs (node, k, first, fk) of points are near and agree."""
         # most images that share an entry share fewer than it takes: they go before their points are read
@@ -206,33 +202,46 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
         links = agreed.where((F.col("n") >= votes) & (F.col("m") >= votes)).select(F.col("node").alias("a"), F.col("other").alias("b"))
         return keep(links.distinct(), "media-links")
 
-    links = linked(match)
+    links = linked(shared.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk")))
+    labels = keep(connected_components(links, "media"), "media-groups")
+    # what the heads have not joined: all pairs of an entry whose images are not yet in one group
+    several = lambda left: left.join(left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
+    points_of = lambda table: table.groupBy("node").agg(F.count_distinct("k").alias("own"))
+
+    def grouped(entries: DataFrame, labels: DataFrame) -> DataFrame:
+        named = entries.join(labels.select(F.col("node").alias("member"), F.col("component").alias("of")), F.col("node") == F.col("member"), "left")
+        return named.select("v", "n", "node", "k", F.coalesce("of", "node").alias("component"))
+
+    left = keep(several(keep(grouped(shared.where(F.col("n") > PAIRED), labels), "media-left")), "media-left")
+    # the rows of smaller entries know their group and how many votes the image's points in large ones can add, so that pairs are counted once and none is joined in vain
+    few = grouped(shared.where(F.col("n") <= PAIRED), labels).join(keep(points_of(left), "media-points-left"), "node", "left").select("v", "node", "k", "component", F.coalesce("own", F.lit(0)).cast("int").alias("own"))
+    match = few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node")))
+    most = [F.max(f"{x}.{c}").alias(a) for x, c, a in (("a", "component", "component"), ("b", "component", "beside"), ("a", "own", "own"), ("b", "own", "other"))]
+    match = match.groupBy("a.node", F.col("b.node").alias("first")).agg(*most, F.collect_set(F.struct("a.k", F.col("b.k").alias("fk"))).alias("m")).where("component <> beside")
+    size_of = lambda c: F.size(F.array_distinct(c))
+    more = lambda c: F.when((F.col("own") > 0) & (F.col("other") > 0), F.col(c)).otherwise(0)
+    known = match.where((size_of("m.k") + more("own") >= votes) & (size_of("m.fk") + more("other") >= votes))
+    known = keep(known.select("node", "first", (more("own") > 0).alias("several"), "m"), "media-known")
+    pairs_of = lambda known: known.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk")
+    links = links.union(linked(pairs_of(known.where(F.size("m") >= votes))))
     labels = keep(connected_components(links, "media"), "media-groups")
-    # what the heads have not joined: all pairs of a large entry whose images are not yet in one group
-    left = many.select("v", "n", "node", "k").join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").select("v", "n", "node", "k", F.coalesce("component", "node").alias("component"))
-    left = keep(left, "media-left")
-    several = left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v")
-    left = keep(left.join(several, "v", "left_semi"), "media-left")
+    left = keep(several(keep(grouped(left, labels), "media-left")), "media-left")
     if left.limit(1).count():
-        # pairs that other entries have too: those that may get enough votes with these entries' points, which are looked up pair by pair
-        points_of = lambda table: table.groupBy("node").agg(F.count_distinct("k").alias("own"))
-        own_points = keep(left.groupBy("node").agg(F.count_distinct("k").alias("own"), F.first("component").alias("component")), "media-points-left")
-        known = match.join(own_points, "node").join(own_points.select(F.col("node").alias("first"), F.col("own").alias("other"), F.col("component").alias("beside")), "first").where("component <> beside")
-        known = known.groupBy("node", "first", "own", "other").agg(F.collect_set(F.struct("k", "fk")).alias("m"))
-        known = keep(known.where((F.size(F.array_distinct("m.k")) + F.col("own") >= votes) & (F.size(F.array_distinct("m.fk")) + F.col("other") >= votes)).select("node", "first", "m"), "media-known")
-        again = known.select("node", "first").join(left.select("v", "node", "k"), "node").join(left.select("v", F.col("node").alias("first"), F.col("k").alias("fk")), ["v", "first"]).select("node", "k", "first", "fk")
-        again = again.union(known.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk"))
+        # pairs that smaller entries have too: with what both have in the same large ones
+        of = left.groupBy("node").agg(F.first("component").alias("component"), F.collect_list(F.struct("v", "k")).alias("p"))
+        again = known.where("several").join(of, "node").join(of.select(F.col("node").alias("first"), F.col("component").alias("beside"), F.col("p").alias("q")), "first").where("component <> beside")
+        both = F.flatten(F.transform("p", lambda x: F.transform(F.filter("q", lambda y: y.v == x.v), lambda y: F.struct(x.k.alias("k"), y.k.alias("fk")))))
+        again = again.select("node", "first", F.array_union("m", both).alias("m")).where((size_of("m.k") >= votes) & (size_of("m.fk") >= votes))
         # all other pairs have all their votes here: images with fewer points than that in entries of several groups can't have them
         for _ in range(2):
             left = keep(left.join(points_of(left).where(F.col("own") >= votes), "node", "left_semi"), "media-left")
-            several = left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v")
-            left = keep(left.join(several, "v", "left_semi"), "media-left")
+            left = keep(several(left), "media-left")
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         dealt = left.join(points.select("node", "k", F.col("p.bits").alias("bits")), ["node", "k"]).withColumn("own", F.pmod(F.xxhash64("node", "k"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         dealt = dealt.select("v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.struct("node", "k", "component", (F.col("own") > F.col("other")).alias("side"), "bits").alias("member"))
         dealt = dealt.groupBy("v", "lo", "hi").agg(F.collect_list("member").alias("members")).select((F.col("lo") == F.col("hi")).alias("one"), "members")
         found = keep(dealt.mapInArrow(_compare, "node bigint, k int, first bigint, fk int"), "media-pairs")
-        links = links.union(linked(again.union(found)))
+        links = links.union(linked(pairs_of(again).union(found)))
         labels = keep(connected_components(links, "media"), "media-groups")
     groups = own.join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").select("content", "least", "corners", F.coalesce("component", "node").alias("component"))
     groups = groups.join(groups.groupBy("component").agg(F.min("least").alias("group_id")), "component").select(F.col("content").alias("__content"), "corners", "group_id")
