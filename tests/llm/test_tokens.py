@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vacantia.llm import packing
 from vacantia.llm.packing import build_sequences, longest_pieces, pack_documents, sweep_range
@@ -185,6 +186,29 @@ def test_packing(spark, encoder):
     assert [(r["length"], r["offset"]) for r in one] == [(1, 0)]
 
 
+def test_the_pipeline_ends_in_whole_sequences(spark, encoder):
+    import corpus_pipeline
+
+    draw = random.Random(6)
+    rows = [(k, "w " * draw.choice([0, 3, 400, 1023, 1024, 2500, draw.randint(0, 900)]), "en", "web") for k in range(60)]
+    rows += [*rows[:20], *rows[:20], (99, None, "en", "web"), (None, "no id", "en", "web"), (None, "nor this", "en", "web"), (7, "another text of the same id", "en", "web")]  # as mixing repeats them
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumn("n_chars", F.length("text"))
+    got = corpus_pipeline.best_fit_packing(spark, docs, "").collect()
+    ids = Counter((i, tuple(np.append(np.frombuffer(encoder.whole([t or ""])[0], "<u4"), 2).tolist())) for i, t, *_ in rows)
+    want, have = Counter(), Counter()
+    for (i, x), n in ids.items():
+        cuts = [0, *range(len(x) % 1024 or 1024, len(x) + 1, 1024)]
+        for piece, (low, high) in enumerate(zip(cuts, cuts[1:])):
+            want[i, piece, low, x[low:high]] += n
+    for r in got:
+        assert len(r["ids"]) <= 1024 and [p["offset"] for p in r["pieces"]] == [0, *np.cumsum([p["length"] for p in r["pieces"]])[:-1]]
+        assert sum(p["length"] for p in r["pieces"]) == len(r["ids"])
+        for p in r["pieces"]:
+            have[p["doc_id"], p["piece"], p["start"], tuple(r["ids"][p["offset"] : p["offset"] + p["length"]])] += 1
+    assert have == want and len({r["sequence_id"] for r in got}) == len(got)
+    assert corpus_pipeline.best_fit_packing(spark, docs.limit(0), "").count() == 0
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_plans_are_best_fit_by_falling_length(seed):
     draw = random.Random(seed)

@@ -379,6 +379,23 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: in
     return result
 
 
+def pack_sequences(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -> DataFrame:
+    """The packed sequences of ``docs`` (doc_id bigint, text): sequence_id, ids array<int>, and pieces, in their order, as :func:`pack_documents` gives them.
+
+    ``pieces`` is array<struct<doc_id, piece, start, length, ids_crc32, offset>>. Nulls, repeats and empty tables are as there. Texts are
+    tokenized once; ids are shuffled by piece and then by sequence.
+    """
+    pieces, path = materialize(token_pieces(docs, tokenizer, end_id, size, with_ids=True), "pieces")
+    placed = place_pieces(pieces.select("key", F.col("key").alias("own"), "length"), size).select("own", "sequence_id", "offset")
+    spans = pieces.join(placed.hint("merge"), F.col("key") == F.col("own")).select("sequence_id", "offset", "doc_id", "piece", "start", "length", "ids_crc32", "ids")
+    # dealt by sequence before they are gathered, or each task would gather its own pieces first, few of which share one
+    whole = spans.repartition("sequence_id").groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct(*[c for c in spans.columns if c != "sequence_id"]))).alias("spans"))
+    piece = lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "offset")])
+    result, _ = materialize(whole.select("sequence_id", F.flatten("spans.ids").alias("ids"), F.transform("spans", piece).alias("pieces")), "sequences")
+    remove_table(docs.sparkSession, path)
+    return result
+
+
 def build_sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2) -> DataFrame:
     """The sequences themselves, (sequence_id, ids array<int>), of ``docs`` packed by :func:`pack_documents` with the same arguments.
 
