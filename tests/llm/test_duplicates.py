@@ -218,6 +218,29 @@ def test_template_links_are_exact(spark, monkeypatch, cold, most_open):
     assert union(named, links) == union(named, brute)
 
 
+def test_tokens_are_hashed_once_a_line_shares_a_key(spark, monkeypatch):
+    stored, materialize = {}, line_templates.materialize
+
+    def noted(table, label, *rows):
+        kept = materialize(table, label, *rows)
+        if label in ("lines", "line-forms"):
+            stored[label] = dict(table.dtypes), kept[0].count()
+        return kept
+
+    monkeypatch.setattr(line_templates, "materialize", noted)
+    draw, rows = random.Random(25), []
+    for k in range(200):  # one in ten recurs but for a word
+        x = words(draw, 14)
+        rows.append((k, " ".join(x) + ("\n\n7 lines " if k % 3 else "")))
+        rows += [(1000 + k, " ".join([*x[:9], "other", *x[10:]]))] * (k % 10 == 0)
+    rows += [(3000, ""), (3001, None), (None, rows[0][1])]
+    got = {r["doc_id"]: r for r in dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert stored["lines"][0]["form"] == "string" and stored["line-forms"] == ({"line": "bigint", "form": "binary"}, 40)
+    for i, t in rows:
+        gone = i is not None and 1000 <= i < 3000
+        assert (got[i]["n_lines"], got[i]["n_dropped"], got[i]["text"]) == (0 if t is None else t.count("\n") + 1, int(gone), "" if gone else t)
+
+
 def test_templates_among_unlike_lines_of_a_leaf(spark):
     draw = random.Random(22)
     name = lambda: "".join(draw.choices("bcdfghjkmnp", k=9))

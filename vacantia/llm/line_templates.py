@@ -52,27 +52,38 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _name(tokens: list[str], min_tokens: int) -> int | None:
+def _name(text: str, n_tokens: int, min_tokens: int) -> int | None:
     import xxhash
 
-    text = " ".join(tokens)
-    return _signed(xxhash.xxh3_64_intdigest(text)) if len(tokens) >= min_tokens or len(text) >= MIN_CHARS else None
+    return _signed(xxhash.xxh3_64_intdigest(text)) if n_tokens >= min_tokens or len(text) >= MIN_CHARS else None
 
 
 def line_id(line: str, min_tokens: int = MIN_TOKENS) -> int | None:
     """Hash of a line with its digit tokens masked; None for lines too short to be filed."""
-    return _name(masked(line), min_tokens)
+    tokens = masked(line)
+    return _name(" ".join(tokens), len(tokens), min_tokens)
 
 
-def file_line(tokens: list[str]) -> tuple[list[int], bytes]:
-    """Tree keys of a masked line whose template may have variable tokens, and the 64-bit hash of each token."""
+def line_keys(tokens: list[str]) -> list[int]:
+    """Tree keys of a masked line whose template may have variable tokens."""
     import xxhash
 
     n, lead, rest = len(tokens), tokens[:LEAD], tokens[LEAD:]
     cuts = variable_fields(n) + 1
     leaf = f"{n} {' '.join(lead)} "
-    keys = [_signed(xxhash.xxh3_64_intdigest(leaf + f"{k} " + " ".join(rest[len(rest) * k // cuts : len(rest) * (k + 1) // cuts]))) for k in range(cuts)]
-    return keys, b"".join([xxhash.xxh3_64_digest(t) for t in tokens])
+    return [_signed(xxhash.xxh3_64_intdigest(leaf + f"{k} " + " ".join(rest[len(rest) * k // cuts : len(rest) * (k + 1) // cuts]))) for k in range(cuts)]
+
+
+def token_hashes(tokens: list[str]) -> bytes:
+    """The 64-bit hash of each token."""
+    import xxhash
+
+    return b"".join([xxhash.xxh3_64_digest(t) for t in tokens])
+
+
+def file_line(tokens: list[str]) -> tuple[list[int], bytes]:
+    """Keys of a masked line, and the hashes of its tokens."""
+    return line_keys(tokens), token_hashes(tokens)
 
 
 def open_positions(n: int, segment: int):
@@ -149,8 +160,16 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(out, schema, strict=True)], names=[n for n, _ in schema])
 
 
+def _hash_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([token_hashes(x.split(" ")) for x in batch.column(1).to_pylist()], pa.binary())], names=["line", "form"])
+
+
 def template_links(forms: DataFrame, cold: int = COLD) -> DataFrame:
-    """Links (a, b) that join all lines of a template. ``forms`` is a stored table (line, keys, form), repeats allowed, of lines by :func:`file_line`."""
+    """Links (a, b) that join all lines of a template. ``forms`` is a stored table (line, keys, form), repeats allowed, of lines by :func:`file_line`.
+
+    A form may also be the masked line itself, a string: only lines that share a key then have their tokens hashed.
+    """
     spark = forms.sparkSession
     links, stored = spark.createDataFrame([], "a bigint, b bigint"), []
 
@@ -174,7 +193,10 @@ def template_links(forms: DataFrame, cold: int = COLD) -> DataFrame:
     nothing = F.lit(None).cast("binary")
     level = several(forms.select("line", F.posexplode("keys").alias("segment", "key")).select("key", "line", "segment", nothing.alias("left")))
     wanted = F.broadcast(level.select("line")) if level.count() <= BROADCAST_LINES else level.select("line")
-    known = keep(forms.join(wanted, "line", "left_semi").select("line", "form").dropDuplicates(["line"]), "line-forms")  # a line has the same form everywhere
+    known = forms.join(wanted, "line", "left_semi").select("line", "form").dropDuplicates(["line"])  # a line has the same form everywhere
+    if dict(forms.dtypes)["form"] == "string":
+        known = known.mapInArrow(_hash_tokens, "line bigint, form binary")
+    known = keep(known, "line-forms")
     while True:
         few = level.where(F.col("n") <= cold).select("key", "line").join(known, "line")
         members = few.groupBy("key").agg(F.collect_list(F.struct("line", "form")).alias("members")).select("members")
@@ -200,18 +222,19 @@ def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     Rows with a null doc_id are left out; rows with the same doc_id are one document.
     """
     spark = docs.sparkSession
-    schema = "doc_id bigint, line bigint, keys array<bigint>, form binary"
-    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    schema = "doc_id bigint, line bigint, keys array<bigint>, form string"
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string()]
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filed: set[int] = set()
         for batch in slices(batches, 500):
             out = [[] for _ in types]
-            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+            for doc, whole in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 seen = set()
-                for line in text.split("\n"):
+                for line in whole.split("\n"):
                     tokens = masked(line)
-                    name = _name(tokens, min_tokens)
+                    text = " ".join(tokens)
+                    name = _name(text, len(tokens), min_tokens)
                     if name is None or name in seen:
                         continue
                     seen.add(name)
@@ -220,7 +243,7 @@ def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
                         if len(filed) >= SEEN:
                             filed.clear()
                         filed.add(name)
-                        keys, form = file_line(tokens)
+                        keys, form = line_keys(tokens), text
                     for column, x in zip(out, (doc, name, keys, form), strict=True):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "line", "keys", "form"])
@@ -266,19 +289,22 @@ def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS, keep_first: bool
     at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
         for batch in slices(batches, 500):
-            texts, counts = [], ([], [], [])
-            for text, n, drop in zip(batch.column(at).to_pylist(), batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist(), strict=True):
-                lines = text.split("\n") if text is not None else []
-                left = lines
-                if drop:
-                    gone = set(drop)
-                    left = [x for x in lines if line_id(x, min_tokens) not in gone]
-                texts.append("\n".join(left) if text is not None else None)
-                for column, x in zip(counts, (len(lines), n or 0, len(lines) - len(left)), strict=True):
-                    column.append(x)
+            whole = batch.column(at).cast(pa.string())
+            n_lines = pc.fill_null(pc.add(pc.count_substring(whole, "\n"), 1), 0).to_numpy()
+            losing = pc.and_(pc.is_valid(whole), pc.greater(pc.fill_null(pc.list_value_length(batch.column(len(kept) + 1)), 0), 0))
+            n_dropped, texts = n_lines * 0, []
+            # only texts that may lose a line become Python strings
+            for i, text, drop in zip(pc.indices_nonzero(losing).to_pylist(), whole.filter(losing).to_pylist(), batch.column(len(kept) + 1).filter(losing).to_pylist(), strict=True):
+                lines, gone = text.split("\n"), set(drop)
+                left = [x for x in lines if line_id(x, min_tokens) not in gone]
+                n_dropped[i] = len(lines) - len(left)
+                texts.append("\n".join(left))
             columns = list(batch.columns[: len(kept)])
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c, pa.int32()) for c in counts)], names=[*kept, *new])
+            columns[at] = pc.replace_with_mask(whole, losing, pa.array(texts, pa.string()))
+            counts = (n_lines, pc.fill_null(batch.column(len(kept)), 0), n_dropped)
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c).cast(pa.int32()) for c in counts)], names=[*kept, *new])
 
     return joined.mapInArrow(run, schema)
