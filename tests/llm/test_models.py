@@ -218,3 +218,22 @@ def test_a_group_of_copies_is_paired_with_its_head(spark, monkeypatch):
     got = media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()
     assert {r["media_id"]: r["group_id"] for r in got} == {i: 0 if i < 100 else i for i, _ in rows}
     assert sum(made) < 2 * sum(r["n_corners"] for r in got)  # all pairs would make about twelve times as many
+
+
+@pytest.mark.parametrize("tried", [media.VOTES - 1, media.TRIED])
+def test_copies_are_joined_on_few_points_or_on_all(spark, monkeypatch, tried):
+    monkeypatch.setattr(media, "TRIED", tried)  # fewer than the votes join none, and all is left to the second round
+    draw = np.random.default_rng(19)
+    picture, made, materialize = draw_waves(draw.normal(size=64)), [], media.materialize
+    rows = [(k, encode(picture * (1 - 0.02 * k))) for k in range(12)] + [(k + 100, encode(draw_waves(draw.normal(size=64)))) for k in range(2)]
+
+    def stored(table, label, *n):
+        kept = materialize(table, label, *n)
+        if label == "media-matches":
+            made.append(kept[0].count())
+        return kept
+
+    monkeypatch.setattr(media, "materialize", stored)
+    got = media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()
+    assert {r["media_id"]: r["group_id"] for r in got} == {i: 0 if i < 100 else i for i, _ in rows}
+    assert tried < media.VOTES or sum(made) <= tried * len(rows)

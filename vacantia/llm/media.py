@@ -7,6 +7,7 @@ at its head, which joins most copies, so that a group of them makes as many pair
 one group yet are paired with each other, in an entry of many block by block, so that no pair of an entry is left out
 but those that cannot get enough votes: pairs that have smaller entries too are looked up in large ones if these can make up the votes, others need as many points there. Pairs of
 corners whose descriptors are near vote for a turn, a zoom and a shift; two images are linked if enough distinct points agree, and copies are the components of links.
+Each image is first tested with the one that it shares most points with, on a few of them; then, on all their points, all pairs of images that are not in one group by then.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ CORNER_AREA, CORNERS = 120, 24
 #: Points of an entry whose pairs are all made at once; points that are compared in one go of larger ones.
 PAIRED, BLOCK = 32, 1024
 VOTES = 5
+#: Pairs of points on which each image is first tested with one other; images that these don't join are tested on all.
+TRIED = 16
 
 
 def decode(data: bytes | None):
@@ -184,24 +187,37 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     whole = Window.partitionBy("v")
     shared = points.select("node", "k", keys).select("*", F.count("*").over(whole).alias("n"), F.min(F.struct("node", "k")).over(whole).alias("head"), F.max("node").over(whole).alias("last"))
     shared = keep(shared.where("head.node < last").select("v", "node", "k", F.col("n").cast("int").alias("n"), "head"), "media-entries")
-    def linked(match: DataFrame) -> DataFrame:
-        """Links of the images of which enough of the pairs (node, k, first, fk) of points are near and agree."""
-        # most images that share an entry share fewer than it takes: they go before their points are read
-        enough = match.groupBy("node", "first").agg(F.collect_set(F.struct("k", "fk")).alias("m")).where(F.size("m") >= votes)
-        enough = keep(enough.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk"), "media-matches")
-        wanted = enough.select("node").union(enough.select("first")).distinct()
+
+    def agreed(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs of images (node, first, m: their pairs of points) of which enough points are near and agree."""
+        match = keep(pairs.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk"), "media-matches")
+        wanted = match.select("node").union(match.select("first")).distinct()
         place = points.join(wanted, "node", "left_semi").select("node", "k", "p.*")
-        near = enough.join(place, ["node", "k"]).join(place.select(F.col("node").alias("first"), F.col("k").alias("fk"), F.struct("x", "y", "scale", "angle", "bits").alias("f")), ["first", "fk"])
+        near = match.join(place, ["node", "k"]).join(place.select(F.col("node").alias("first"), F.col("k").alias("fk"), F.struct("x", "y", "scale", "angle", "bits").alias("f")), ["first", "fk"])
         apart = F.aggregate(F.zip_with("bits", "f.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
         turn = F.pmod(F.col("angle") - F.col("f.angle"), F.lit(6.283185307179586))
         moved = near.where(apart <= NEAR).withColumn("zoom", F.col("scale") / F.col("f.scale")).withColumn("turn", turn)
         moved = moved.withColumn("sx", F.col("x") - F.col("zoom") * (F.cos("turn") * F.col("f.x") - F.sin("turn") * F.col("f.y"))).withColumn("sy", F.col("y") - F.col("zoom") * (F.sin("turn") * F.col("f.x") + F.cos("turn") * F.col("f.y")))
         # two grids, the second half a cell aside, so that votes on a border meet in one of them
         cells = F.array(*[F.struct(F.lit(g).alias("g"), F.round(F.log2("zoom") * 1.7).alias("z"), F.floor(F.col("turn") / 0.35 + g / 2).alias("r"), F.floor(F.col("sx") / 12 + g / 2).alias("a"), F.floor(F.col("sy") / 12 + g / 2).alias("b")) for g in (0, 1)])
-        agreed = moved.select("node", F.col("first").alias("other"), "k", "fk", F.explode(cells).alias("c")).groupBy("node", "other", "c").agg(F.count_distinct("k").alias("n"), F.count_distinct("fk").alias("m"))
-        links = agreed.where((F.col("n") >= votes) & (F.col("m") >= votes)).select(F.col("node").alias("a"), F.col("other").alias("b"))
+        votes_of = moved.select("node", F.col("first").alias("other"), "k", "fk", F.explode(cells).alias("c")).groupBy("node", "other", "c").agg(F.count_distinct("k").alias("n"), F.count_distinct("fk").alias("m"))
+        links = votes_of.where((F.col("n") >= votes) & (F.col("m") >= votes)).select(F.col("node").alias("a"), F.col("other").alias("b"))
         return keep(links.distinct(), "media-links")
 
+    def linked(match: DataFrame) -> DataFrame:
+        """Links that join all images of which enough of the pairs (node, k, first, fk) of points are near and agree."""
+        # most images that share an entry share fewer than it takes: they go before their points are read
+        pairs = match.groupBy("node", "first").agg(F.collect_set(F.struct("k", "fk")).alias("m")).where(F.size("m") >= votes)
+        pairs = keep(pairs, "media-candidates")
+        # in a group of copies one link an image joins all, and few points show it; no pair of images that are apart after that goes untested
+        best = pairs.groupBy("node").agg(F.max_by(F.struct("first", "m"), F.struct(F.size("m"), -F.col("first"))).alias("b")).select("node", "b.*")
+        few = F.slice(F.array_sort(F.transform("m", lambda x: F.struct(F.xxhash64("node", x.k, x.fk).alias("h"), x.k.alias("k"), x.fk.alias("fk")))), 1, TRIED)
+        links = agreed(best.select("node", "first", few.alias("m")))
+        labels = keep(connected_components(links, "media"), "media-groups")
+        of = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))
+        rest = pairs.join(of("node", "own"), "node", "left").join(of("first", "other"), "first", "left").where(F.coalesce("own", "node") != F.coalesce("other", "first"))
+        return links.union(agreed(rest.select("node", "first", "m")))
+
     links = linked(shared.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk")))
     labels = keep(connected_components(links, "media"), "media-groups")
     # what the heads have not joined: all pairs of an entry whose images are not yet in one group
