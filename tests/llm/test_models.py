@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +35,37 @@ def corpus(spark):
     return docs.cache(), spark.createDataFrame([*labels, (None, 1, 1), (5, None, None), (5, 0, 1)], "doc_id bigint, toxic int, quality int").cache()
 
 
+def test_the_pipeline_sends_small_batches(spark, corpus):
+    import corpus_pipeline
+
+    key, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    rows = spark.range(5000, numPartitions=1)
+    try:
+        for stage in (corpus_pipeline.toxicity_filter, corpus_pipeline.line_dedup, corpus_pipeline.near_dedup):
+            spark.conf.set(key, 10_000)
+            try:
+                stage(spark, spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars int"), "/root/testdata/sf0.001")
+            finally:
+                sizes += [r[0] for r in rows.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in bs), "n bigint").collect()]
+    finally:
+        spark.conf.unset(key)
+    assert len(sizes) == 15 and max(sizes) == 1000
+
+
+def test_line_dedup_frees_the_word_table(monkeypatch):
+    from vacantia.llm import common, toxicity as module
+
+    kept, freed = common._OWNER[:], []
+    monkeypatch.setattr(common, "release", lambda: freed.append(not module._CACHE))
+    try:
+        module.features("some words to keep")
+        assert module._CACHE
+        common.claim("lines", lambda: None)
+        assert freed[-1] and common._OWNER[0][0] == "lines"
+    finally:
+        common._OWNER[:] = kept
+
+
 @pytest.mark.parametrize(("run", "label", "folds", "out"), [(toxicity, "toxic", 4, 2), (quality, "quality", 5, 0)])
 def test_classifiers_on_the_held_out_fold(corpus, run, label, folds, out):
     import zlib

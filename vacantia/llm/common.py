@@ -79,6 +79,32 @@ def join_frequent(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(hot, key).unionByName(rest)
 
 
+#: Rows of an Arrow batch of documents.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session sends Python workers Arrow batches of at most BATCH_ROWS rows; a smaller limit stays.
+
+    By default a batch has 10,000 rows, which is all of most tasks' documents: the executor and the worker each hold all that it reads and
+    returns at once, twice while a buffer grows, and keep much of that memory afterwards. The limit holds when a plan is run, so it is not set back.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
+def release() -> None:
+    """Give memory that this process has freed back to the system; the C library and Arrow would keep it."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 _OWNER: list[tuple[str, Callable[[], None]]] = []
 
 
@@ -90,6 +116,8 @@ def claim(name: str, clear: Callable[[], None]) -> None:
     if not _OWNER or _OWNER[0][0] != name:
         for _, other in _OWNER:
             other()
+        if _OWNER:
+            release()
         _OWNER[:] = [(name, clear)]
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, join_frequent, materialize, remove_table, slices, texts_of
+from .common import claim, connected_components, join_frequent, materialize, remove_table, slices, texts_of
 
 #: Lines with fewer tokens and fewer characters are left alone: they recur by chance.
 MIN_TOKENS, MIN_CHARS = 3, 40
@@ -227,6 +227,7 @@ def recurring_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filed: set[int] = set()
+        claim("lines", filed.clear)
         for batch in slices(batches, 500):
             out = [[] for _ in types]
             for doc, whole in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):

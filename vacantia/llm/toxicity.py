@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, slices, texts_of
+from .common import claim, release, slices, texts_of
 
 BITS = 20
 #: Documented bound of the labelled sample that is learnt from, by a hash of the ids, and passes over it.
@@ -130,7 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> list[t
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        rows = [(label, np.frombuffer(at, "int32")) for b in batches for label, at in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+        # places stay in the batches' own buffers
+        rows = [(label.as_py(), np.frombuffer(at.as_buffer(), "int32")) for b in batches for label, at in zip(b.column(1), b.column(2), strict=True)]
         model = Ftrl()
         for _ in range(EPOCHS):
             for label, at in rows:
@@ -138,6 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> list[t
         w = model.weights(np.arange((1 << BITS) + 1))
         kept = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(w[kept], pa.float64())], names=["place", "weight"])
+        del rows, model, w
+        release()
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     sets = texts.mapInArrow(hashed, "doc_id bigint, label int, at binary").repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "at")
