@@ -252,6 +252,25 @@ def test_a_group_of_copies_is_paired_with_its_head(spark, monkeypatch):
     assert sum(made) < 2 * sum(r["n_corners"] for r in got)  # all pairs would make about twelve times as many
 
 
+def test_large_groups_apart_are_joined_by_their_best_pairs(spark, monkeypatch):
+    draw = np.random.default_rng(29)
+    picture, made, materialize = draw_waves(draw.normal(size=64)), {}, media.materialize
+    rows = [(i, encode(np.clip(picture + draw.normal(0, 5, picture.shape), 0, 255))) for i in range(40)]
+
+    def stored(df, label, *more):
+        table, path = materialize(df, label, *more)
+        if label in ("media-candidates", "media-matches"):
+            made.setdefault(label, []).append(table.selectExpr("sum(size(m))").first()[0] if "m" in table.columns else table.count())
+        return table, path
+
+    monkeypatch.setattr(media, "materialize", stored)
+    monkeypatch.setattr(media, "TRIED", 1)  # the first test joins none: all images are groups of their own
+    got = {r["group_id"] for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()}
+    assert got == {0}
+    assert sum(made["media-matches"]) < made["media-candidates"][0]
+
+
+
 @pytest.mark.parametrize("tried", [media.VOTES - 1, media.TRIED])
 def test_copies_are_joined_on_few_points_or_on_all(spark, monkeypatch, tried):
     monkeypatch.setattr(media, "TRIED", tried)  # fewer than the votes join none, and all is left to the second round

@@ -7,7 +7,8 @@ at its head, which joins most copies, so that a group of them makes as many pair
 one group yet are paired with each other, in an entry of many block by block, so that no pair of an entry is left out
 but those that cannot get enough votes: pairs that have smaller entries too are looked up in large ones if these can make up the votes, others need as many points there. Pairs of
 corners whose descriptors are near vote for a turn, a zoom and a shift; two images are linked if enough distinct points agree, and copies are the components of links.
-Each image is first tested with the one that it shares most points with, on a few of them; then, on all their points, all pairs of images that are not in one group by then.
+Each image is first tested with the one that it shares most points with, on a few of them; then, on all their points, all pairs of images that are not in one group by then,
+the best of each group before the others where they are many.
 """
 
 from __future__ import annotations
@@ -178,6 +179,7 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     # a number that packs well: the id, but for further images under the same one
     turn = F.row_number().over(Window.partitionBy("least").orderBy("content"))
     own, _ = materialize(known.withColumn("node", F.when(turn == 1, F.col("least")).otherwise(F.xxhash64("content"))), "media-contents")
+    n_images = own.count()
     images = described.select("content", "media_id", "points").join(own.where("corners > 0").select("content", F.col("least").alias("media_id"), "node"), ["content", "media_id"])
     points = images.select("node", F.posexplode("points").alias("k", "p"))
     each = BITS // TABLES
@@ -188,6 +190,8 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     shared = points.select("node", "k", keys).select("*", F.count("*").over(whole).alias("n"), F.min(F.struct("node", "k")).over(whole).alias("head"), F.max("node").over(whole).alias("last"))
     shared = keep(shared.where("head.node < last").select("v", "node", "k", F.col("n").cast("int").alias("n"), "head"), "media-entries")
 
+    size_of = lambda c: F.size(F.array_distinct(c))
+
     def agreed(pairs: DataFrame) -> DataFrame:
         """Those of the pairs of images (node, first, m: their pairs of points) of which enough points are near and agree."""
         match = keep(pairs.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk"), "media-matches")
@@ -204,21 +208,36 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
         links = votes_of.where((F.col("n") >= votes) & (F.col("m") >= votes)).select(F.col("node").alias("a"), F.col("other").alias("b"))
         return keep(links.distinct(), "media-links")
 
-    def linked(match: DataFrame) -> DataFrame:
-        """Links that join all images of which enough of the pairs (node, k, first, fk) of points are near and agree."""
-        # most images that share an entry share fewer than it takes: they go before their points are read
-        pairs = match.groupBy("node", "first").agg(F.collect_set(F.struct("k", "fk")).alias("m")).where(F.size("m") >= votes)
-        pairs = keep(pairs, "media-candidates")
+    def paired(match: DataFrame) -> DataFrame:
+        """The pairs (node, k, first, fk) of points by pair of images: (node, first, m)."""
+        return match.groupBy("node", "first").agg(F.collect_set(F.struct("k", "fk")).alias("m"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Links that join all images of which enough of the pairs of points (node, first, m) are near and agree."""
+        # most images that share an entry share fewer points than it takes: they go before their points are read
+        pairs = keep(pairs.where((size_of("m.k") >= votes) & (size_of("m.fk") >= votes)), "media-candidates")
         # in a group of copies one link an image joins all, and few points show it; no pair of images that are apart after that goes untested
         best = pairs.groupBy("node").agg(F.max_by(F.struct("first", "m"), F.struct(F.size("m"), -F.col("first"))).alias("b")).select("node", "b.*")
         few = F.slice(F.array_sort(F.transform("m", lambda x: F.struct(F.xxhash64("node", x.k, x.fk).alias("h"), x.k.alias("k"), x.fk.alias("fk")))), 1, TRIED)
-        links = agreed(best.select("node", "first", few.alias("m")))
-        labels = keep(connected_components(links, "media"), "media-groups")
-        of = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))
-        rest = pairs.join(of("node", "own"), "node", "left").join(of("first", "other"), "first", "left").where(F.coalesce("own", "node") != F.coalesce("other", "first"))
-        return links.union(agreed(rest.select("node", "first", "m")))
-
-    links = linked(shared.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk")))
+        tried = keep(best.select("node", "first", few.alias("m")), "media-best")
+        links, parts = agreed(tried), 1
+        while True:
+            labels = keep(connected_components(links, "media"), "media-groups")
+            of = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))  # noqa: B023, E731
+            named = pairs.join(of("node", "own"), "node", "left").join(of("first", "other"), "first", "left").select("node", "first", "m", F.coalesce("own", "node").alias("own"), F.coalesce("other", "first").alias("other"))
+            pairs = keep(named.where("own <> other"), "media-apart")
+            rest = pairs.select("node", "first", "m")
+            # two large groups have as many pairs as the product of their images, and one of these may join them: while all that is
+            # left is more points than enough for every image, only the best pair is tested of each part of a group's pairs, of four times as many parts each time
+            if (rest.agg(F.sum(F.size("m"))).first()[0] or 0) <= votes * n_images:
+                return links.union(agreed(rest))
+            part = F.pmod(F.xxhash64("node", "first"), F.lit(parts)).alias("part")
+            best = [pairs.groupBy(c, part).agg(F.max_by(F.struct("node", "first", "m"), F.struct(F.size("m"), "node", "first")).alias("b")).select("b.*") for c in ("own", "other")]
+            tried = keep(best[0].union(best[1]).dropDuplicates(["node", "first"]), "media-best")
+            links, parts = keep(links.union(agreed(tried)), "media-links"), 4 * parts
+            pairs = rest.join(tried.select("node", "first"), ["node", "first"], "left_anti")
+
+    links = linked(paired(shared.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk"))))
     labels = keep(connected_components(links, "media"), "media-groups")
     # what the heads have not joined: all pairs of an entry whose images are not yet in one group
     several = lambda left: left.join(left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
@@ -234,12 +253,10 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     match = few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node")))
     most = [F.max(f"{x}.{c}").alias(a) for x, c, a in (("a", "component", "component"), ("b", "component", "beside"), ("a", "own", "own"), ("b", "own", "other"))]
     match = match.groupBy("a.node", F.col("b.node").alias("first")).agg(*most, F.collect_set(F.struct("a.k", F.col("b.k").alias("fk"))).alias("m")).where("component <> beside")
-    size_of = lambda c: F.size(F.array_distinct(c))
     more = lambda c: F.when((F.col("own") > 0) & (F.col("other") > 0), F.col(c)).otherwise(0)
     known = match.where((size_of("m.k") + more("own") >= votes) & (size_of("m.fk") + more("other") >= votes))
     known = keep(known.select("node", "first", (more("own") > 0).alias("several"), "m"), "media-known")
-    pairs_of = lambda known: known.select("node", "first", F.explode("m").alias("m")).select("node", "m.k", "first", "m.fk")
-    links = links.union(linked(pairs_of(known.where(F.size("m") >= votes))))
+    links = links.union(linked(known.select("node", "first", "m")))
     labels = keep(connected_components(links, "media"), "media-groups")
     left = keep(several(keep(grouped(left, labels), "media-left")), "media-left")
     if left.limit(1).count():
@@ -257,7 +274,8 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
         dealt = dealt.select("v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.struct("node", "k", "component", (F.col("own") > F.col("other")).alias("side"), "bits").alias("member"))
         dealt = dealt.groupBy("v", "lo", "hi").agg(F.collect_list("member").alias("members")).select((F.col("lo") == F.col("hi")).alias("one"), "members")
         found = keep(dealt.mapInArrow(_compare, "node bigint, k int, first bigint, fk int"), "media-pairs")
-        links = links.union(linked(pairs_of(again).union(found)))
+        both = again.union(paired(found)).groupBy("node", "first").agg(F.array_distinct(F.flatten(F.collect_list("m"))).alias("m"))
+        links = links.union(linked(both))
         labels = keep(connected_components(links, "media"), "media-groups")
     groups = own.join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").select("content", "least", "corners", F.coalesce("component", "node").alias("component"))
     groups = groups.join(groups.groupBy("component").agg(F.min("least").alias("group_id")), "component").select(F.col("content").alias("__content"), "corners", "group_id")
