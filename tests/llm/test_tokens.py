@@ -209,6 +209,26 @@ def test_the_pipeline_ends_in_whole_sequences(spark, encoder):
     assert corpus_pipeline.best_fit_packing(spark, docs.limit(0), "").count() == 0
 
 
+@pytest.mark.parametrize(("end_id", "width"), [(2, 2), (70_000, 4)])
+def test_ids_are_stored_and_shuffled_in_two_bytes(spark, encoder, monkeypatch, end_id, width):
+    sizes, materialize = [], packing.materialize
+
+    def stored(table, label, rows=None):
+        kept = materialize(table, label, rows)
+        if label == "pieces":
+            sizes.extend(map(tuple, kept[0].select("length", F.octet_length(F.col("ids").cast("binary"))).collect()))
+        return kept
+
+    monkeypatch.setattr(packing, "materialize", stored)
+    rows = [(k, "a word " * (3 * k) + "w " * 40, "z") for k in range(30)]
+    got = packing.pack_sequences(spark.createDataFrame(rows, SCHEMA), "byte_bpe_50k.json", size=64, end_id=end_id).collect()
+    have = {(p["doc_id"], p["start"]): r["ids"][p["offset"] : p["offset"] + p["length"]] for r in got for p in r["pieces"]}
+    whole = {i: [*np.frombuffer(encoder.whole([t])[0], "<u4").tolist(), end_id] for i, t, _ in rows}
+    assert {i: sum((x for (d, _), x in sorted(have.items()) if d == i), []) for i in whole} == whole
+    # a piece with the wide id has four bytes an id, all others two
+    assert {size / length for length, size in sizes} == {2, width}
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_plans_are_best_fit_by_falling_length(seed):
     draw = random.Random(seed)

@@ -42,17 +42,40 @@ AGAIN = 3
 CLASSES = (2, 4)
 
 
+def short_ids(data: bytes) -> bytes:
+    """Ids, little-endian uint32, in two bytes each if all are below 2^16, else as they are."""
+    import numpy as np
+
+    ids = np.frombuffer(data, "<u4")
+    return ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else data
+
+
+def _join_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences (sequence_id, lengths, ids, and what else there is) with the ids of their spans, of :func:`short_ids`, as one array."""
+    import numpy as np
+
+    for batch in slices(batches):
+        lengths, spans = batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_pylist()
+        data = b"".join(spans)
+        if len(data) == 2 * lengths.sum():
+            ids = np.frombuffer(data, "<u2").astype("int32")
+        else:
+            ids = np.concatenate([np.frombuffer(x, "<u2" if len(x) == 2 * n else "<u4").astype("int32") for x, n in zip(spans, lengths.tolist(), strict=True)])
+        ends = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(batch.column(1).value_lengths().to_numpy()))]
+        whole = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+        yield pa.RecordBatch.from_arrays([batch.column(0), whole, *batch.columns[3:]], names=["sequence_id", "ids", *batch.schema.names[3:]])
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_ids: bool = False) -> DataFrame:
-    """Pieces of tokenized documents: key (a number of its own for each), doc_id, piece, start, length, ids_crc32, and ids if asked for.
+    """Pieces of tokenized documents: key (a number of its own for each), doc_id, piece, start, length, ids_crc32, and ids (:func:`short_ids`) if asked for.
 
     The key counts rows within partitions: it is to be stored before it is read twice.
     """
     path = tokenizer_path(tokenizer)
-    schema = "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int32())] * with_ids]
+    schema = "key bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         from pyspark import TaskContext
 
         end, key = end_id.to_bytes(4, "little"), TaskContext.get().partitionId() << 36
@@ -64,7 +87,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, with_i
                 while at < n:
                     length = (n % size or size) if at == 0 else size
                     data = ids[4 * at : 4 * (at + length)]
-                    for column, x in zip(out, (key, doc, piece, at, length, zlib.crc32(data), *[np.frombuffer(data, "<i4")] * with_ids), strict=True):
+                    for column, x in zip(out, (key, doc, piece, at, length, zlib.crc32(data), *[short_ids(data)] * with_ids), strict=True):
                         column.append(x)
                     at, piece, key = at + length, piece + 1, key + 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
@@ -383,7 +406,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: in
     """The packed sequences of ``docs`` (doc_id bigint, text): sequence_id, ids array<int>, and pieces, in their order, as :func:`pack_documents` gives them.
 
     ``pieces`` is array<struct<doc_id, piece, start, length, ids_crc32, offset>>. Nulls, repeats and empty tables are as there. Texts are
-    tokenized once; ids are shuffled by piece and then by sequence.
+    tokenized once; ids are shuffled by piece and then by sequence, in two bytes each where they allow it.
     """
     pieces, path = materialize(token_pieces(docs, tokenizer, end_id, size, with_ids=True), "pieces")
     placed = place_pieces(pieces.select("key", F.col("key").alias("own"), "length"), size).select("own", "sequence_id", "offset")
@@ -391,7 +414,8 @@ def pack_sequences(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: in
     # dealt by sequence before they are gathered, or each task would gather its own pieces first, few of which share one
     whole = spans.repartition("sequence_id").groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct(*[c for c in spans.columns if c != "sequence_id"]))).alias("spans"))
     piece = lambda x: F.struct(*[x[c].alias(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "offset")])
-    result, _ = materialize(whole.select("sequence_id", F.flatten("spans.ids").alias("ids"), F.transform("spans", piece).alias("pieces")), "sequences")
+    whole = whole.select("sequence_id", "spans.length", "spans.ids", F.transform("spans", piece).alias("pieces"))
+    result, _ = materialize(whole.mapInArrow(_join_spans, f"sequence_id bigint, ids array<int>, pieces {whole.schema['pieces'].dataType.simpleString()}"), "sequences")
     remove_table(docs.sparkSession, path)
     return result
 
@@ -404,6 +428,6 @@ def build_sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, size: in
     """
     same = ["doc_id", "piece", "length", "ids_crc32"]
     known = token_pieces(docs, tokenizer, end_id, size, with_ids=True).select(*same, "ids").dropDuplicates(same).alias("k")
-    spans = packed.alias("p").join(known, [F.col(f"p.{c}").eqNullSafe(F.col(f"k.{c}")) for c in same]).select("p.sequence_id", "p.offset", "k.ids")
-    whole = spans.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("spans"))
-    return whole.select("sequence_id", F.flatten(F.col("spans.ids")).alias("ids"))
+    spans = packed.alias("p").join(known, [F.col(f"p.{c}").eqNullSafe(F.col(f"k.{c}")) for c in same]).select("p.sequence_id", "p.offset", "p.length", "k.ids")
+    whole = spans.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "length", "ids"))).alias("spans"))
+    return whole.select("sequence_id", "spans.length", "spans.ids").mapInArrow(_join_spans, "sequence_id bigint, ids array<int>")
