@@ -270,6 +270,20 @@ def test_large_groups_apart_are_joined_by_their_best_pairs(spark, monkeypatch):
     assert sum(made["media-matches"]) < made["media-candidates"][0]
 
 
+def test_pairs_of_a_large_group_are_not_labelled_before_it_is_joined(spark, monkeypatch):
+    draw = np.random.default_rng(37)
+    picture, made, materialize = draw_waves(draw.normal(size=64)), [], media.materialize
+    rows = [(i, encode(np.clip(picture + draw.normal(0, 5, picture.shape), 0, 255))) for i in range(24)]
+
+    def stored(df, label, *more):
+        made.append(label)
+        return materialize(df, label, *more)
+
+    monkeypatch.setattr(media, "materialize", stored)
+    monkeypatch.setattr(media, "TRIED", 1)  # the heads join none, the best pair of each image joins all
+    got = {r["group_id"] for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()}
+    assert got == {0} and "media-apart" not in made
+
 
 @pytest.mark.parametrize("tried", [media.VOTES - 1, media.TRIED])
 def test_copies_are_joined_on_few_points_or_on_all(spark, monkeypatch, tried):

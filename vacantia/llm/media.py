@@ -7,8 +7,8 @@ at its head, which joins most copies, so that a group of them makes as many pair
 one group yet are paired with each other, in an entry of many block by block, so that no pair of an entry is left out
 but those that cannot get enough votes: pairs that have smaller entries too are looked up in large ones if these can make up the votes, others need as many points there. Pairs of
 corners whose descriptors are near vote for a turn, a zoom and a shift; two images are linked if enough distinct points agree, and copies are the components of links.
-Each image is first tested with the one that it shares most points with, on a few of them; then, on all their points, all pairs of images that are not in one group by then,
-the best of each group before the others where they are many.
+Each image is first tested with the one that it shares most points with: with a head on a few of them, with the others of its entries on all. Only then are the pairs stored of
+images that are not in one group by then, and tested on all their points, the best of each group before the others where they are many.
 """
 
 from __future__ import annotations
@@ -212,32 +212,42 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
         """The pairs (node, k, first, fk) of points by pair of images: (node, first, m)."""
         return match.groupBy("node", "first").agg(F.collect_set(F.struct("k", "fk")).alias("m"))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Links that join all images of which enough of the pairs of points (node, first, m) are near and agree."""
-        # most images that share an entry share fewer points than it takes: they go before their points are read
-        pairs = keep(pairs.where((size_of("m.k") >= votes) & (size_of("m.fk") >= votes)), "media-candidates")
-        # in a group of copies one link an image joins all, and few points show it; no pair of images that are apart after that goes untested
-        best = pairs.groupBy("node").agg(F.max_by(F.struct("first", "m"), F.struct(F.size("m"), -F.col("first"))).alias("b")).select("node", "b.*")
-        few = F.slice(F.array_sort(F.transform("m", lambda x: F.struct(F.xxhash64("node", x.k, x.fk).alias("h"), x.k.alias("k"), x.fk.alias("fk")))), 1, TRIED)
-        tried = keep(best.select("node", "first", few.alias("m")), "media-best")
-        links, parts = agreed(tried), 1
+    def enough(pairs: DataFrame) -> DataFrame:
+        """Most images that share an entry share fewer points than it takes: they go before their points are read."""
+        return pairs.where((size_of("m.k") >= votes) & (size_of("m.fk") >= votes))
+
+    def best_of_each(pairs: DataFrame) -> DataFrame:
+        """Of each image (node) the pair with the most points: in a group of copies one link an image joins all."""
+        return enough(pairs).groupBy("node").agg(F.max_by(F.struct("first", "m"), F.struct(F.size("m"), -F.col("first"))).alias("b")).select("node", "b.*")
+
+    def rest_linked(pairs: DataFrame) -> DataFrame:
+        """Links that join all images of which enough of the pairs of points (node, first, m, a stored table) are near and agree."""
+        links, parts = None, 1
         while True:
-            labels = keep(connected_components(links, "media"), "media-groups")
-            of = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))  # noqa: B023, E731
-            named = pairs.join(of("node", "own"), "node", "left").join(of("first", "other"), "first", "left").select("node", "first", "m", F.coalesce("own", "node").alias("own"), F.coalesce("other", "first").alias("other"))
-            pairs = keep(named.where("own <> other"), "media-apart")
-            rest = pairs.select("node", "first", "m")
             # two large groups have as many pairs as the product of their images, and one of these may join them: while all that is
             # left is more points than enough for every image, only the best pair is tested of each part of a group's pairs, of four times as many parts each time
+            rest = pairs.select("node", "first", "m")
             if (rest.agg(F.sum(F.size("m"))).first()[0] or 0) <= votes * n_images:
-                return links.union(agreed(rest))
+                return agreed(rest) if links is None else links.union(agreed(rest))
             part = F.pmod(F.xxhash64("node", "first"), F.lit(parts)).alias("part")
             best = [pairs.groupBy(c, part).agg(F.max_by(F.struct("node", "first", "m"), F.struct(F.size("m"), "node", "first")).alias("b")).select("b.*") for c in ("own", "other")]
             tried = keep(best[0].union(best[1]).dropDuplicates(["node", "first"]), "media-best")
-            links, parts = keep(links.union(agreed(tried)), "media-links"), 4 * parts
-            pairs = rest.join(tried.select("node", "first"), ["node", "first"], "left_anti")
+            found = agreed(tried)
+            links, parts = found if links is None else keep(links.union(found), "media-links"), 4 * parts
+            pairs = apart(rest.join(tried.select("node", "first"), ["node", "first"], "left_anti"), links)
 
-    links = linked(paired(shared.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk"))))
+    def apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+        """The pairs (node, first, m) that the links leave in two groups, own and other."""
+        labels = keep(connected_components(links, "media"), "media-groups")
+        of = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))
+        named = pairs.join(of("node", "own"), "node", "left").join(of("first", "other"), "first", "left").select("node", "first", "m", F.coalesce("own", "node").alias("own"), F.coalesce("other", "first").alias("other"))
+        return keep(named.where("own <> other"), "media-apart")
+
+    # in a group of copies few points show a link; what is apart after that is paired anew with all in its entries
+    with_head = paired(shared.where("node <> head.node").select("node", "k", F.col("head.node").alias("first"), F.col("head.k").alias("fk")))
+    best = best_of_each(keep(enough(with_head), "media-candidates"))
+    few_points = F.slice(F.array_sort(F.transform("m", lambda x: F.struct(F.xxhash64("node", x.k, x.fk).alias("h"), x.k.alias("k"), x.fk.alias("fk")))), 1, TRIED)
+    links = agreed(keep(best.select("node", "first", few_points.alias("m")), "media-best"))
     labels = keep(connected_components(links, "media"), "media-groups")
     # what the heads have not joined: all pairs of an entry whose images are not yet in one group
     several = lambda left: left.join(left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
@@ -249,20 +259,28 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
 
     left = keep(several(keep(grouped(shared.where(F.col("n") > PAIRED), labels), "media-left")), "media-left")
     # the rows of smaller entries know their group and how many votes the image's points in large ones can add, so that pairs are counted once and none is joined in vain
-    few = grouped(shared.where(F.col("n") <= PAIRED), labels).join(keep(points_of(left), "media-points-left"), "node", "left").select("v", "node", "k", "component", F.coalesce("own", F.lit(0)).cast("int").alias("own"))
-    match = few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node")))
-    most = [F.max(f"{x}.{c}").alias(a) for x, c, a in (("a", "component", "component"), ("b", "component", "beside"), ("a", "own", "own"), ("b", "own", "other"))]
-    match = match.groupBy("a.node", F.col("b.node").alias("first")).agg(*most, F.collect_set(F.struct("a.k", F.col("b.k").alias("fk"))).alias("m")).where("component <> beside")
+    points_left = keep(points_of(left), "media-points-left")
     more = lambda c: F.when((F.col("own") > 0) & (F.col("other") > 0), F.col(c)).otherwise(0)
-    known = match.where((size_of("m.k") + more("own") >= votes) & (size_of("m.fk") + more("other") >= votes))
-    known = keep(known.select("node", "first", (more("own") > 0).alias("several"), "m"), "media-known")
-    links = links.union(linked(known.select("node", "first", "m")))
+
+    def paired_apart(labels: DataFrame) -> DataFrame:
+        """All pairs of images of different groups in smaller entries (node, first, m, their groups, and the points in large entries)."""
+        few = grouped(shared.where(F.col("n") <= PAIRED), labels).join(points_left, "node", "left").select("v", "node", "k", "component", F.coalesce("own", F.lit(0)).cast("int").alias("own"))
+        match = few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component")))
+        most = [F.max(f"{x}.{c}").alias(a) for x, c, a in (("a", "component", "component"), ("b", "component", "beside"), ("a", "own", "own"), ("b", "own", "other"))]
+        return match.groupBy("a.node", F.col("b.node").alias("first")).agg(*most, F.collect_set(F.struct("a.k", F.col("b.k").alias("fk"))).alias("m"))
+
+    # a large group that is apart would have the square of its images in pairs: the best pair of each image is tested before the others are stored
+    links = keep(links.union(agreed(keep(best_of_each(paired_apart(labels)), "media-best"))), "media-links")
+    labels = keep(connected_components(links, "media"), "media-groups")
+    known = paired_apart(labels).where((size_of("m.k") + more("own") >= votes) & (size_of("m.fk") + more("other") >= votes))
+    known = keep(known.select("node", "first", (more("own") > 0).alias("several"), "m", "component", "beside"), "media-known")
+    links = links.union(rest_linked(keep(enough(known).select("node", "first", "m", F.col("component").alias("own"), F.col("beside").alias("other")), "media-candidates")))
     labels = keep(connected_components(links, "media"), "media-groups")
     left = keep(several(keep(grouped(left, labels), "media-left")), "media-left")
     if left.limit(1).count():
         # pairs that smaller entries have too: with what both have in the same large ones
         of = left.groupBy("node").agg(F.first("component").alias("component"), F.collect_list(F.struct("v", "k")).alias("p"))
-        again = known.where("several").join(of, "node").join(of.select(F.col("node").alias("first"), F.col("component").alias("beside"), F.col("p").alias("q")), "first").where("component <> beside")
+        again = known.where("several").select("node", "first", "m").join(of, "node").join(of.select(F.col("node").alias("first"), F.col("component").alias("beside"), F.col("p").alias("q")), "first").where("component <> beside")
         both = F.flatten(F.transform("p", lambda x: F.transform(F.filter("q", lambda y: y.v == x.v), lambda y: F.struct(x.k.alias("k"), y.k.alias("fk")))))
         again = again.select("node", "first", F.array_union("m", both).alias("m")).where((size_of("m.k") >= votes) & (size_of("m.fk") >= votes))
         # all other pairs have all their votes here: images with fewer points than that in entries of several groups can't have them
@@ -275,7 +293,9 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
         dealt = dealt.groupBy("v", "lo", "hi").agg(F.collect_list("member").alias("members")).select((F.col("lo") == F.col("hi")).alias("one"), "members")
         found = keep(dealt.mapInArrow(_compare, "node bigint, k int, first bigint, fk int"), "media-pairs")
         both = again.union(paired(found)).groupBy("node", "first").agg(F.array_distinct(F.flatten(F.collect_list("m"))).alias("m"))
-        links = links.union(linked(both))
+        both = keep(enough(both), "media-candidates")
+        tried = agreed(keep(best_of_each(both).select("node", "first", few_points.alias("m")), "media-best"))
+        links = links.union(tried).union(rest_linked(apart(both, tried)))
         labels = keep(connected_components(links, "media"), "media-groups")
     groups = own.join(labels.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left").select("content", "least", "corners", F.coalesce("component", "node").alias("component"))
     groups = groups.join(groups.groupBy("component").agg(F.min("least").alias("group_id")), "component").select(F.col("content").alias("__content"), "corners", "group_id")
