@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -285,6 +286,45 @@ def test_pairs_of_a_large_group_are_not_labelled_before_it_is_joined(spark, monk
     assert got == {0} and "media-apart" not in made
 
 
+def test_points_that_images_share_are_counted_in_lists():
+    draw = np.random.default_rng(3)
+    kind = pa.list_(pa.struct([("k", pa.int32()), *((n, pa.list_(t)) for n, t in (("first", pa.int64()), ("fk", pa.int32()), ("beside", pa.int64()), ("other", pa.int32())))]))
+    own, rows, want = {i: int(draw.integers(0, 4)) for i in range(60)}, [], {}
+    for node in range(30, 40):
+        entries, pairs = [], {}
+        for k in draw.integers(0, 9, 14).tolist():
+            first, fk = draw.integers(0, 12, 6).tolist(), draw.integers(0, 9, 6).tolist()
+            entries.append({"k": k, "first": first, "fk": fk, "beside": first, "other": [own[f] for f in first]})
+            for f, y in zip(first, fk, strict=True):
+                pairs.setdefault(f, set()).add((k, y))
+        rows.append((node, node, own[node], entries))
+        for f, m in pairs.items():
+            want[node, f] = sorted(m), min(len({x[c] for x in m}) for c in (0, 1)), own[node] > 0 and own[f] > 0
+    batch = pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int32(), kind))], names=["node", "component", "own", "entries"])
+    enough = lambda a, b, m, n: min(len({x[c] for x in m}) + (o if n else 0) for c, o in ((0, own[a]), (1, own[b]))) >= 6
+    got = {x[:2]: x[2:] for x in media.shared_points(batch.slice(1), 6, False)}
+    assert got == {(a, b): (m, a, b, n) for (a, b), (m, _, n) in want.items() if a > 30 and enough(a, b, m, n)}
+    assert any(want[x][1] < 6 for x in got) and len(got) < len(want)
+    best = {x[0]: x[1] for x in media.shared_points(batch, 6, True)}
+    assert best and best == {a: min((-len(m), b) for (x, b), (m, n, _) in want.items() if x == a and n >= 6)[1] for a in {a for (a, _), (_, n, _) in want.items() if n >= 6}}
+    assert not list(media.shared_points(batch.slice(0, 0), 6, True))
+
+
+def test_pairs_of_small_entries_make_no_rows(spark, monkeypatch):
+    draw, plans, materialize = np.random.default_rng(8), [], media.materialize
+    pictures = [draw_waves(draw.normal(size=64)) for _ in range(4)]
+    rows = [(i + 10 * turn, encode(np.rot90(p, turn))) for i, p in enumerate(pictures) for turn in (0, 1)]
+
+    def stored(df, label, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label, *more)
+
+    monkeypatch.setattr(media, "materialize", stored)
+    got = {r["media_id"]: r["group_id"] for r in media_copies(spark.createDataFrame(rows, "media_id bigint, image binary")).collect()}
+    assert got == {i: i % 10 for i, _ in rows}
+    assert plans and not [p for p in plans if re.search(r"Join \[v#\d+L?\], \[v#\d+L?\], Inner", p)]
+
+
 @pytest.mark.parametrize("tried", [media.VOTES - 1, media.TRIED])
 def test_copies_are_joined_on_few_points_or_on_all(spark, monkeypatch, tried):
     monkeypatch.setattr(media, "TRIED", tried)  # fewer than the votes join none, and all is left to the second round

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, remove_table, slices
+from .common import connected_components, materialize, remove_table, slices, small_batches
 
 BITS, TABLES = 256, 8
 #: Bits of the next part that an entry has besides its own.
@@ -145,6 +145,41 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=["node", "k", "first", "fk"])
 
 
+def shared_points(batch: pa.RecordBatch, votes: int, best: bool) -> Iterator[tuple]:
+    """(node, first, m, component, beside, several) of the pairs of each image, a row of the batch, that can get enough votes; with ``best`` the one with the most points.
+
+    A row has the image's group, how many of its points are in large entries, and of each other entry that it is in its point and, in lists as long
+    as each other, the points there of images that come before it in other groups.
+    """
+    import numpy as np
+
+    node, component, own, entries = (batch.column(i) for i in range(4))
+    k, *lists = entries.flatten().flatten()
+    sizes = lists[0].value_lengths().to_numpy()
+    row = np.repeat(np.repeat(np.arange(batch.num_rows), entries.value_lengths().to_numpy()), sizes)
+    k, (first, fk, beside, other) = np.repeat(k.to_numpy(), sizes), (x.flatten().to_numpy() for x in lists)
+    order = np.lexsort((first, row))
+    row, first = row[order], first[order]
+    begin = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (first[1:] != first[:-1])][: len(row)])
+    size, at = np.diff(np.r_[begin, len(row)]), order[begin]
+    own = own.to_numpy()[row[begin]]
+    several = (own > 0) & (other[at] > 0) & (not best)
+    found: dict[int, tuple] = {}
+    for i in np.flatnonzero(size + np.where(several, np.minimum(own, other[at]), 0) >= votes):
+        j = order[begin[i] : begin[i] + size[i]]
+        m = sorted({*zip(k[j].tolist(), fk[j].tolist(), strict=True)})
+        more = (int(own[i]), int(other[at[i]])) if several[i] else (0, 0)
+        if min(len({x[c] for x in m}) + more[c] for c in (0, 1)) < votes:
+            continue
+        r = int(row[begin[i]])
+        pair = (node[r].as_py(), int(first[begin[i]]), m, component[r].as_py(), int(beside[at[i]]), bool(several[i]))
+        if not best:
+            yield pair
+        elif r not in found or len(found[r][2]) < len(m):  # of as many points the smallest first
+            found[r] = pair
+    yield from found.values()
+
+
 def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "image", votes: int = VOTES) -> DataFrame:
     """(media_id bigint, n_corners, group_id) of every row of ``media``.
 
@@ -249,7 +284,6 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
     few_points = F.slice(F.array_sort(F.transform("m", lambda x: F.struct(F.xxhash64("node", x.k, x.fk).alias("h"), x.k.alias("k"), x.fk.alias("fk")))), 1, TRIED)
     links = agreed(keep(best.select("node", "first", few_points.alias("m")), "media-best"))
     labels = keep(connected_components(links, "media"), "media-groups")
-    # what the heads have not joined: all pairs of an entry whose images are not yet in one group
     several = lambda left: left.join(left.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("v"), "v", "left_semi")
     points_of = lambda table: table.groupBy("node").agg(F.count_distinct("k").alias("own"))
 
@@ -257,23 +291,39 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
         named = entries.join(labels.select(F.col("node").alias("member"), F.col("component").alias("of")), F.col("node") == F.col("member"), "left")
         return named.select("v", "n", "node", "k", F.coalesce("of", "node").alias("component"))
 
-    left = keep(several(keep(grouped(shared.where(F.col("n") > PAIRED), labels), "media-left")), "media-left")
-    # the rows of smaller entries know their group and how many votes the image's points in large ones can add, so that pairs are counted once and none is joined in vain
-    points_left = keep(points_of(left), "media-points-left")
-    more = lambda c: F.when((F.col("own") > 0) & (F.col("other") > 0), F.col(c)).otherwise(0)
-
-    def paired_apart(labels: DataFrame) -> DataFrame:
-        """All pairs of images of different groups in smaller entries (node, first, m, their groups, and the points in large entries)."""
-        few = grouped(shared.where(F.col("n") <= PAIRED), labels).join(points_left, "node", "left").select("v", "node", "k", "component", F.coalesce("own", F.lit(0)).cast("int").alias("own"))
-        match = few.alias("a").join(few.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component")))
-        most = [F.max(f"{x}.{c}").alias(a) for x, c, a in (("a", "component", "component"), ("b", "component", "beside"), ("a", "own", "own"), ("b", "own", "other"))]
-        return match.groupBy("a.node", F.col("b.node").alias("first")).agg(*most, F.collect_set(F.struct("a.k", F.col("b.k").alias("fk"))).alias("m"))
-
-    # a large group that is apart would have the square of its images in pairs: the best pair of each image is tested before the others are stored
-    links = keep(links.union(agreed(keep(best_of_each(paired_apart(labels)), "media-best"))), "media-links")
+    def paired_apart(labels: DataFrame, points_left: DataFrame | None = None) -> DataFrame:
+        """Pairs of images of different groups that smaller entries give enough votes, with ``points_left`` also those that large ones can give the rest, else the best of each image.
+
+        Most images that share an entry share no other: each gathers the points beside its own, as lists, and counts them at once, so that no row is made for a pair that has too few.
+        """
+        best = points_left is None
+        few = grouped(shared.where(F.col("n") <= PAIRED), labels)
+        few = few.withColumn("own", F.lit(0)) if best else few.join(points_left, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        member = F.struct("node", "k", "component", F.col("own").cast("int").alias("own"))
+        entries = few.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.collect_list(member).alias("members")).where("lo <> hi")
+        before = F.filter("members", lambda x: (x.node < F.col("a.node")) & (x.component != F.col("a.component")))
+        each = entries.select("members", F.explode("members").alias("a")).select("a.*", before.alias("b")).where(F.size("b") > 0)
+        entry = F.struct("k", F.col("b.node").alias("first"), F.col("b.k").alias("fk"), F.col("b.component").alias("beside"), F.col("b.own").alias("other"))
+        gathered = each.groupBy("node").agg(F.first("component").alias("component"), F.first("own").alias("own"), F.collect_list(entry).alias("entries"))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            types = (pa.int64(), pa.int64(), pa.list_(pa.struct([("k", pa.int32()), ("fk", pa.int32())])), pa.int64(), pa.int64(), pa.bool_())
+            for batch in slices(batches, 64):
+                found = list(shared_points(batch, votes, best))
+                found = [(a, b, [{"k": x, "fk": y} for x, y in m], *rest) for a, b, m, *rest in found]
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], t) for c, t in enumerate(types)], names=["node", "first", "m", "component", "beside", "several"])
+
+        small_batches(spark)
+        return gathered.mapInArrow(count, "node bigint, first bigint, m array<struct<k:int,fk:int>>, component bigint, beside bigint, several boolean")
+
+    # what the heads have not joined: a large group that is apart would have the square of its images in pairs, so the best pair of each image is tested before the others are stored
+    best = keep(paired_apart(labels).select("node", "first", "m"), "media-best")
+    links = keep(links.union(agreed(best)), "media-links")
     labels = keep(connected_components(links, "media"), "media-groups")
-    known = paired_apart(labels).where((size_of("m.k") + more("own") >= votes) & (size_of("m.fk") + more("other") >= votes))
-    known = keep(known.select("node", "first", (more("own") > 0).alias("several"), "m", "component", "beside"), "media-known")
+    # only then the large entries, those with images that are not yet in one group
+    left = keep(several(keep(grouped(shared.where(F.col("n") > PAIRED), labels), "media-left")), "media-left")
+    # the rows of smaller entries know how many votes the image's points in large ones can add, so that pairs are counted once and none is looked up in vain
+    known = keep(paired_apart(labels, keep(points_of(left), "media-points-left")), "media-known")
     links = links.union(rest_linked(keep(enough(known).select("node", "first", "m", F.col("component").alias("own"), F.col("beside").alias("other")), "media-candidates")))
     labels = keep(connected_components(links, "media"), "media-groups")
     left = keep(several(keep(grouped(left, labels), "media-left")), "media-left")
