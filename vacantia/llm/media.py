@@ -300,9 +300,8 @@ def media_copies(media: DataFrame, id_col: str = "media_id", image_col: str = "i
         few = grouped(shared.where(F.col("n") <= PAIRED), labels)
         few = few.withColumn("own", F.lit(0)) if best else few.join(points_left, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
         member = F.struct("node", "k", "component", F.col("own").cast("int").alias("own"))
-        entries = few.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.collect_list(member).alias("members")).where("lo <> hi")
-        before = F.filter("members", lambda x: (x.node < F.col("a.node")) & (x.component != F.col("a.component")))
-        each = entries.select("members", F.explode("members").alias("a")).select("a.*", before.alias("b")).where(F.size("b") > 0)
+        before = F.collect_list(member).over(Window.partitionBy("v").orderBy("node", "k").rowsBetween(Window.unboundedPreceding, -1))
+        each = few.withColumn("b", before).withColumn("b", F.filter("b", lambda x: x.component != F.col("component"))).where(F.size("b") > 0)
         entry = F.struct("k", F.col("b.node").alias("first"), F.col("b.k").alias("fk"), F.col("b.component").alias("beside"), F.col("b.own").alias("other"))
         gathered = each.groupBy("node").agg(F.first("component").alias("component"), F.first("own").alias("own"), F.collect_list(entry).alias("entries"))
 
